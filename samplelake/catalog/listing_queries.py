@@ -338,7 +338,7 @@ def detect_sharded(spark, sf):
 
 
 @query("registry_read", W(v.SCANS) + """SELECT source_bucket, source_prefix, metadata_key,
-  strftime(at, '%Y-%m-%d %H:%M:%S') AS at, total, corrupted FROM scans""")
+  strftime("at", '%Y-%m-%d %H:%M:%S') AS "at", total, corrupted FROM scans""")
 def registry_read(spark, sf):
     from samplelake.staging import staging_path
 
@@ -350,8 +350,8 @@ def registry_read(spark, sf):
 
 
 @query("registry_last_n", W(v.SCANS) + """SELECT metadata_key, total,
-  row_number() OVER (ORDER BY at DESC, metadata_key DESC) AS newest
-  FROM scans ORDER BY at DESC, metadata_key DESC LIMIT 50""")
+  row_number() OVER (ORDER BY "at" DESC, metadata_key DESC) AS newest
+  FROM scans ORDER BY "at" DESC, metadata_key DESC LIMIT 50""")
 def registry_last_n(spark, sf):
     last = registry.last_scans(v.scans(spark, sf))
     # Fifty rows at most: numbering them in one task is bounded.
@@ -479,8 +479,8 @@ def parse_uri(spark, sf):
     return _uris(spark, sf).withColumn("p", p.parse_uri(F.col("uri"))).select("doc_id", "uri", "p.bucket", "p.prefix")
 
 
-@query("metadata_key", W(URIS, PARSED) + """SELECT doc_id, 'metadata/' ||
-  coalesce(nullif(trim(replace(prefix, '/', '_'), '_'), ''), 'scan') || '.jsonl' AS metadata_key FROM parsed""")
+@query("metadata_key", W(URIS, PARSED) + """SELECT doc_id, CASE WHEN prefix IS NOT NULL THEN 'metadata/' ||
+  coalesce(nullif(trim(replace(prefix, '/', '_'), '_'), ''), 'scan') || '.jsonl' END AS metadata_key FROM parsed""")
 def metadata_key(spark, sf):
     return parse_uri(spark, sf).select("doc_id", p.metadata_key(F.col("prefix")).alias("metadata_key"))
 

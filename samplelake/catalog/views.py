@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samplelake.operators.listing import labelled_samples, shard_manifest
+from samplelake.staging import stage
 
 PREFIX = "landing/"
 SHARD_SIZE = 50
@@ -76,7 +77,8 @@ def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit(""))
     )
     content = F.concat(F.unhex(head), F.encode("body", "UTF-8"), F.unhex(tail))
-    return objects(spark, sf_dir).select("key", "size_bytes", content.alias("content"), "doc_id")
+    # Written once: a scan reads stored bytes, it does not rebuild them per check.
+    return stage(objects(spark, sf_dir).select("key", "size_bytes", content.alias("content"), "doc_id"), "blobs")
 
 
 BLOBS = f"""blob_parts AS (
@@ -214,7 +216,7 @@ def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SCANS = """scans AS (
   SELECT 'lake' AS source_bucket, o_orderpriority AS source_prefix,
-         'metadata/' || printf('%012d', o_orderkey) || '.jsonl' AS metadata_key, o_orderdate AS at,
+         'metadata/' || printf('%012d', o_orderkey) || '.jsonl' AS metadata_key, o_orderdate AS "at",
          floor(o_totalprice)::BIGINT AS total, o_custkey % 100 AS corrupted FROM orders)"""
 
 

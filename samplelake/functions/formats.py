@@ -22,6 +22,8 @@ JPEG_END = "FFD9"
 PNG_END = "49454E44AE426082"
 EXIF_MARKER = "457869660000"
 PNG_EXIF_CHUNK = "65584966"
+HEAD_BYTES = 32
+TAIL_BYTES = 64
 UNKNOWN_DATA = "unrecognised image data"
 TRUNCATED_DATA = "image data is truncated"
 
@@ -57,25 +59,25 @@ def header_height(content: Column, fmt: Column) -> Column:
     return _header_side(content, fmt, 21, 9, 23)
 
 
-def is_truncated(content: Column, fmt: Column) -> Column:
+def is_truncated(tail: Column, fmt: Column) -> Column:
     """A JPEG without its end marker, or a PNG without its last chunk, near the end."""
-    tail = F.substring(content, -64, 64)
     return F.when(fmt == "JPEG", ~F.contains(tail, _bytes(JPEG_END))).when(
         fmt == "PNG", ~F.contains(tail, _bytes(PNG_END))
     ).otherwise(F.lit(False))
 
 
-def has_exif(content: Column, fmt: Column) -> Column:
-    return F.when(fmt == "PNG", F.contains(content, _bytes(PNG_EXIF_CHUNK))).otherwise(
-        F.contains(content, _bytes(EXIF_MARKER))
-    )
+def has_exif_marker(content: Column) -> Column:
+    return F.contains(content, _bytes(EXIF_MARKER))
+
+
+def has_exif_chunk(content: Column) -> Column:
+    """The Exif chunk of a PNG."""
+    return F.contains(content, _bytes(PNG_EXIF_CHUNK))
 
 
 def is_unexpected_format(fmt: Column) -> Column:
     return fmt.isNotNull() & (fmt != "") & ~F.upper(fmt).isin(*EXPECTED_FORMATS)
 
 
-def image_error(content: Column, fmt: Column) -> Column:
-    return F.when(fmt.isNull(), F.lit(UNKNOWN_DATA)).when(
-        is_truncated(content, fmt), F.lit(TRUNCATED_DATA)
-    )
+def image_error(tail: Column, fmt: Column) -> Column:
+    return F.when(fmt.isNull(), F.lit(UNKNOWN_DATA)).when(is_truncated(tail, fmt), F.lit(TRUNCATED_DATA))

@@ -39,7 +39,7 @@ def epoch_batches(
         .filter(F.col("batch_pos") < batch_size - 1)
         .withColumn(
             "batch_pos",
-            F.explode(F.sequence(F.col("batch_pos") + 1, F.lit(batch_size - 1))).cast("int"),
+            F.explode(F.sequence(F.col("batch_pos") + 1, F.lit(batch_size - 1))),
         )
     )
     return batches.unionByName(filler)
