@@ -151,12 +151,23 @@ def _rotation(h: int, w: int, degrees: float):
     return ys, xs, from_y - y0, from_x - x0, inside
 
 
-def _bilinear(work: np.ndarray, ys, xs, fy, fx) -> np.ndarray:
-    """Values between four neighbours, the same four for every image and channel."""
+def _corners(work: np.ndarray, ys, xs):
+    return (work[:, ys[i], xs[j]] for i in (0, 1) for j in (0, 1))
+
+
+def _slide(work: np.ndarray, ys, xs, fy, fx) -> np.ndarray:
+    """Slide from neighbour to neighbour: equal neighbours give exactly their value."""
+    fy, fx = fy[..., None], fx[..., None]
+    a, b, c, d = _corners(work, ys, xs)
+    top, low = a + (b - a) * fx, c + (d - c) * fx
+    return top + (low - top) * fy
+
+
+def _weighted(work: np.ndarray, ys, xs, fy, fx) -> np.ndarray:
+    """Sum of the four neighbours by their weights."""
     fy, fx = fy[..., None], fx[..., None]
-    top = work[:, ys[0], xs[0]] * (1 - fx) + work[:, ys[0], xs[1]] * fx
-    low = work[:, ys[1], xs[0]] * (1 - fx) + work[:, ys[1], xs[1]] * fx
-    return top * (1 - fy) + low * fy
+    a, b, c, d = _corners(work, ys, xs)
+    return a * (1 - fy) * (1 - fx) + b * (1 - fy) * fx + c * fy * (1 - fx) + d * fy * fx
 
 
 def rotate(stack, _keys, tables, degrees):
@@ -173,7 +184,7 @@ def rotate(stack, _keys, tables, degrees):
         if at not in tables:
             tables[at] = _rotation(h, w, degrees)
         ys, xs, fy, fx, inside = tables[at]
-        work = _bilinear(levels.astype(np.float64), ys, xs, fy, fx)
+        work = _slide(levels.astype(np.float64), ys, xs, fy, fx)
         out = np.where(inside[..., None], work, 0).astype(np.uint8)
     return np.ascontiguousarray(out) if is_levels(stack) else out.astype(np.float32) / np.float32(255)
 
@@ -202,7 +213,7 @@ def lens_distortion(stack, _keys, tables, k=-0.2):
     if at not in tables:
         tables[at] = _lens(h, w, k)
     work = stack.astype(np.float64) / 255.0 if is_levels(stack) else stack.astype(np.float64)
-    return like(np.clip(_bilinear(work, *tables[at]), 0, 1), stack)
+    return like(np.clip(_weighted(work, *tables[at]), 0, 1), stack)
 
 
 # --- values ---------------------------------------------------------------------

@@ -83,30 +83,21 @@ def normalize(
 ) -> Column:
     """Scale to 0..1 where any value lies outside it, then standardise if both are given."""
 
-    def scaled(im: Column) -> Column:
-        px = im["px"]
-        outside = (F.array_max(px) > 1.0) | (F.array_min(px) < 0.0)
-
-        def value(x: Column) -> Column:
-            x = x.cast("double")
-            return F.when(outside_var, _clip(x, 0.0, 255.0) / 255.0).otherwise(x)
-
-        def finish(flag: Column) -> Column:
-            nonlocal outside_var
-            outside_var = flag
-            if mean is None or std is None:
-                return F.transform(px, lambda x: value(x).cast("float"))
-            means = F.array(*[F.lit(float(m)) for m in mean])
-            stds = F.array(*[F.lit(max(float(s), MIN_STD)) for s in std])
-            return F.transform(
-                px,
-                lambda x, i: (
-                    (value(x) - F.get(means, i % len(mean))) / F.get(stds, i % len(std))
-                ).cast("float"),
-            )
+    standardise = mean is not None and std is not None
+    means = F.array(*[F.lit(float(m)) for m in mean]) if standardise else None
+    stds = F.array(*[F.lit(max(float(s), MIN_STD)) for s in std]) if standardise else None
+
+    def value(x: Column, i: Column, outside: Column) -> Column:
+        x = x.cast("double")
+        x = F.when(outside, _clip(x, 0.0, 255.0) / 255.0).otherwise(x)
+        if standardise:
+            x = (x - F.get(means, i % len(mean))) / F.get(stds, i % len(std))
+        return x.cast("float")
 
-        outside_var = F.lit(False)
-        return _same_size(im, let(outside, finish))
+    def scaled(im: Column) -> Column:
+        outside = (F.array_max(im["px"]) > 1.0) | (F.array_min(im["px"]) < 0.0)
+        px = let(outside, lambda out: F.transform(im["px"], lambda x, i: value(x, i, out)))
+        return _same_size(im, px)
 
     return let(img, scaled)
 
