@@ -336,10 +336,9 @@ query("train_view", W(v.RGB, v.RGB_U8, draws_sql("places", "rgb", 9, "0TrainView
   seen AS (SELECT key, y - top AS y, CASE WHEN u < 0.5 THEN 2 - (x - lft) ELSE x - lft END AS x, ch, val
            FROM pixels JOIN corner USING (key) JOIN coins USING (key)
            WHERE y >= top AND y < top + 3 AND x >= lft AND x < lft + 3),
-  wide AS (SELECT key, max(val) > 1 OR min(val) < 0 AS outside FROM seen GROUP BY key),
-  cells AS (SELECT key, (y * 3 + x) * 3 + ch + 1 AS pos, ((CASE WHEN outside THEN val / 255 ELSE val END
+  cells AS (SELECT key, (y * 3 + x) * 3 + ch + 1 AS pos, (((val / 255)::FLOAT::DOUBLE
     - {doubles(MEAN)}[(ch + 1)::INTEGER]) / {doubles(STD)}[(ch + 1)::INTEGER])::FLOAT AS val
-    FROM seen JOIN wide USING (key)) {CELL_SUMS}""")(
+    FROM seen) {CELL_SUMS}""")(
     on(v.rgb_u8, [st.TrainView(size=3, resize=None, seed=9)], levels=True)
 )
 query("random_area_crop")(on(v.rgb_u8, [st.AreaView(size=5, resize=8, seed=9)], levels=True))

@@ -339,6 +339,10 @@ def to_levels_step(stack, _keys, _tables):
     return to_levels(stack)
 
 
+def to_unit_step(stack, _keys, _tables):
+    return as_unit(stack).astype(np.float32)
+
+
 KERNELS = {
     "resize": resize,
     "resize_shorter": resize_shorter,
@@ -351,6 +355,7 @@ KERNELS = {
     "vignetting": vignetting,
     "to_rgb": to_rgb,
     "to_levels": to_levels_step,
+    "to_unit": to_unit_step,
     "random_crop": random_crop,
     "random_mirror": random_mirror,
     "random_area_crop": random_area_crop,

@@ -1,18 +1,325 @@
-"""Jobs a user calls, composed from the operators."""
+"""Jobs a user calls, composed from the operators.
+
+Output is always written before the ledger row that names it.  A job that stops in
+between repeats that work on the next run and loses none.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import time
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
+from samplelake.functions.paths import dest_key, flat_prefix, metadata_key, split_base
+from samplelake.operators import ledger as led
+from samplelake.operators import scanning
 from samplelake.operators.labels import encode_labels, label_ids_sorted
-from samplelake.operators.listing import labelled_samples
+from samplelake.operators.listing import (
+    detect_sharded,
+    filter_images,
+    labelled_samples,
+    listing_order,
+    skip_missing,
+    with_class_ids,
+)
+from samplelake.operators.listing import shard_manifest as manifest_of
+from samplelake.operators.numbering import shard_size_for
+from samplelake.operators.registry import append_scan
+from samplelake.plans.steps import Step, ToLevels, ToRgb, transform_images
+from samplelake.sources import keyed, objects, tables, tarshards
+from samplelake.sources.images import decode_images, decoded, encoded
+from samplelake.staging import stage
+
+LEDGER_SCHEMA = T.StructType(
+    [
+        T.StructField("job_id", T.StringType()),
+        T.StructField("shard", T.StringType()),
+        T.StructField("sample_idx", T.LongType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("at", T.TimestampType()),
+    ]
+)
+
+
+@dataclass
+class Timings:
+    """Seconds spent in the phases of a job."""
+
+    seconds: dict[str, float] = field(default_factory=dict)
+
+    @contextmanager
+    def phase(self, name: str) -> Iterator[None]:
+        start = time.perf_counter()
+        yield
+        self.seconds[name] = self.seconds.get(name, 0.0) + time.perf_counter() - start
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """``phase, seconds`` for the metrics tables."""
+        return spark.createDataFrame(list(self.seconds.items()), "phase string, seconds double")
+
+
+# --- scan -----------------------------------------------------------------------
+
+
+def scan_dataset(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    *,
+    bucket: str,
+    prefix: str,
+    decode: bool = True,
+) -> DataFrame:
+    """List, validate and summarise a prefix; write JSON lines and record the scan.
+
+    Gives the summary row.  With ``decode`` the sizes come from Spark's image decoder.
+    """
+    found = scanning.validate_bytes(filter_images(objects.read_objects(spark, root)))
+    if decode:
+        sizes = decode_images(spark, root).select("key", "width", "height")
+        found = scanning.add_decoded_size(found, sizes)
+    metadata = stage(found, "scan")
+    key = spark.range(1).select(metadata_key(F.lit(prefix)).alias("key")).first()["key"]
+    base = out.rstrip("/")
+    tables.write_jsonl(metadata, f"{base}/{key}")
+    summary = scanning.scan_summary(metadata)
+    entry = summary.select(
+        F.lit(bucket).alias("source_bucket"),
+        F.lit(prefix).alias("source_prefix"),
+        F.lit(key).alias("metadata_key"),
+        F.current_timestamp().alias("at"),
+        "total",
+        "corrupted",
+    )
+    append_scan(entry, f"{base}/metadata/registry")
+    return summary
+
+
+# --- shard ----------------------------------------------------------------------
+
+
+def shard_dataset(
+    listing: DataFrame,
+    prefix: str,
+    out: str,
+    *,
+    splits: Sequence[str | None] = (None,),
+    extensions: Iterable[str] | None = None,
+    shard_size: int | None = None,
+    num_shards: int | None = None,
+    order: str = "key",
+) -> DataFrame:
+    """Number the images of a listing (``path, key``) and write tar shards and manifest.
+
+    Each split gets its own shard names and class ids.  The tasks that write a shard
+    read its images themselves, so only the manifest is shuffled.  Gives the manifest.
+    """
+    parts = [
+        _shard_split(listing, prefix, split, extensions, shard_size, num_shards, order) for split in splits
+    ]
+    manifest = parts[0]
+    for part in parts[1:]:
+        manifest = manifest.unionByName(part)
+    tables.write_manifest(manifest, out)
+    spark = listing.sparkSession
+    written = spark.read.schema(manifest.schema).parquet(f"{out.rstrip('/')}/metadata")
+    paths = listing.select("path", F.col("key").alias("source"))
+    rows = written.join(paths, "source").select(
+        "shard", "sample_idx", F.col("__key__").alias("key"), "cls_idx", "path"
+    )
+    shards = written.select("shard").distinct().count()
+    fetched = objects.fetch_content(tarshards.place_by_shard(rows, shards))
+    members = tarshards.sample_members(F.col("content"), F.col("cls_idx"))
+    tarshards.write_placed_shards(fetched.withColumn("members", members), out)
+    return written
+
+
+def _shard_split(listing, prefix, split, extensions, shard_size, num_shards, order) -> DataFrame:
+    samples = labelled_samples(listing, prefix, split=split, extensions=extensions)
+    total = samples.count() if num_shards is not None else 0
+    size = shard_size_for(total, num_shards, shard_size)
+    return with_class_ids(manifest_of(samples, size, split=split, order=order), size)
+
+
+# --- transform --------------------------------------------------------------------
+
+
+def read_ledger(spark: SparkSession, path: str, job: str | None = None) -> DataFrame:
+    """Finished work; none where the ledger does not exist yet."""
+    try:
+        done = spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return done if job is None else done.filter(F.col("job_id") == job)
+
+
+def append_to_ledger(done: DataFrame, path: str, job: str, run: str) -> None:
+    columns = {f.name: F.lit(None).cast(f.dataType) for f in LEDGER_SCHEMA}
+    columns |= {c: F.col(c) for c in done.columns if c in columns}
+    columns |= {"job_id": F.lit(job), "run_id": F.lit(run), "at": F.current_timestamp()}
+    done.select(*[columns[n].alias(n) for n in columns]).write.mode("append").parquet(path)
+
+
+def job_name(bucket: str, prefix: str) -> str:
+    spark = SparkSession.getActiveSession()
+    name = F.concat(F.lit(bucket + "_"), flat_prefix(F.lit(prefix)))
+    return spark.range(1).select(name.alias("n")).first()["n"]
+
+
+def run_transform(
+    spark: SparkSession, root: str, steps: Sequence[Step], out: str, *, job: str, sharded: bool | None = None
+) -> Timings:
+    """Transform a prefix, flat or sharded; the layout is looked up where not given."""
+    if sharded is None:
+        sharded = detect_sharded(objects.list_objects(spark, root)).first()["is_sharded"]
+    run = transform_sharded if sharded else transform_flat
+    return run(spark, root, steps, out, job=job)
+
+
+def transform_flat(
+    spark: SparkSession,
+    root: str,
+    steps: Sequence[Step],
+    out: str,
+    *,
+    job: str,
+    decoder: str = "spark",
+    dest_prefix: str = "",
+) -> Timings:
+    """Transform the images below ``root`` that the job's ledger does not hold.
+
+    ``decoder="spark"`` uses the JVM's image source; ``"python"`` opens pending files
+    only and decodes what the installed codecs allow.  Results are a Parquet table
+    with one folder per run; a run counts once its ledger rows exist.
+    """
+    timings, base, run = Timings(), out.rstrip("/"), uuid.uuid4().hex
+    ledger_path = f"{base}/ledger"
+    with timings.phase("list"):
+        listed = filter_images(objects.list_objects(spark, root))
+        done = read_ledger(spark, ledger_path, job)
+        todo = stage(led.pending_work(listed, done, ["key"]), "todo")
+    if todo.isEmpty():
+        return timings
+    with timings.phase("process"):
+        if decoder == "spark":
+            images = decode_images(spark, root).filter(F.col("image").isNotNull())
+            images = images.join(todo.select("key"), "key", "left_semi").select("key", "image")
+            chain = [ToRgb(bgr=True), *steps, ToLevels()]
+        else:
+            placed = objects.spread_by_bytes(todo, "size_bytes", ["key"])
+            images = objects.fetch_content(placed).select("key", decoded(F.col("content")).alias("image"))
+            images = images.filter(F.col("image").isNotNull())
+            chain = [*steps, ToLevels()]
+        result = transform_images(images, chain, levels=True, binary=True)
+        dest = dest_key(F.lit(dest_prefix), F.col("key"))
+        result.withColumn("dest", dest).write.parquet(f"{base}/images/run={run}")
+    with timings.phase("ledger"):
+        produced = spark.read.parquet(f"{base}/images/run={run}").select("key")
+        finished = led.produced_only(todo, produced, ["key"])
+        append_to_ledger(finished.select("key"), ledger_path, job, run)
+    return timings
+
+
+def read_transformed(spark: SparkSession, out: str) -> DataFrame:
+    """Transformed images of completed runs: ``key, dest, image, run``."""
+    base = out.rstrip("/")
+    runs = read_ledger(spark, f"{base}/ledger").select(F.col("run_id").alias("run")).distinct()
+    return spark.read.parquet(f"{base}/images").join(runs, "run", "left_semi")
+
+
+def transform_sharded(
+    spark: SparkSession, root: str, steps: Sequence[Step], out: str, *, job: str
+) -> Timings:
+    """Transform a sharded dataset: one output tar per input tar with pending samples.
+
+    A shard with any pending sample is rebuilt whole.  Samples are joined with the
+    manifest on shard and place while they are index rows; reading, transforming and
+    writing then happen in the one task that owns the shard.
+    """
+    timings, base, run = Timings(), out.rstrip("/"), uuid.uuid4().hex
+    ledger_path = f"{base}/ledger"
+    with timings.phase("metadata_load"):
+        manifest = tables.read_manifest(spark, root)
+        pending = led.pending_work(manifest, read_ledger(spark, ledger_path, job), ["shard", "sample_idx"])
+        needed = stage(led.needed_shards(pending), "needed")
+    if needed.isEmpty():
+        return timings
+    with timings.phase("index"):
+        files = tarshards.list_shard_files(spark, root).join(needed, "shard", "left_semi")
+        index = tarshards.index_shards(files)
+    with timings.phase("process"):
+        known = led.join_manifest(index, manifest.select("shard", "sample_idx", "__key__", "cls"))
+        wanted = stage(known.filter(tarshards.has_place(F.col("places"))), "wanted")
+        placed = tarshards.place_by_shard(wanted, needed.count())
+        fetched = tarshards.fetch_members(placed)
+        image = F.coalesce(*[F.col("members")[m] for m in tarshards.IMAGE_MEMBERS])
+        images = fetched.select(
+            "shard", "sample_idx", "key", F.col("members")["cls"].alias("_cls"), decoded(image).alias("image")
+        ).filter(F.col("image").isNotNull())
+        result = transform_images(images, [*steps, ToLevels()], levels=True, binary=True)
+        members = F.map_filter(
+            F.create_map(F.lit("png"), encoded(F.col("image")), F.lit("cls"), F.col("_cls")),
+            lambda _, data: data.isNotNull(),
+        )
+        written = tarshards.write_placed_shards(
+            result.select("shard", "sample_idx", "key", members.alias("members")), base
+        )
+    with timings.phase("ledger"):
+        finished = led.produced_only(wanted, written, ["shard"])
+        append_to_ledger(
+            finished.select("shard", "sample_idx", F.col("__key__").alias("key")), ledger_path, job, run
+        )
+    return timings
+
+
+# --- keyed datasets and training views ------------------------------------------------
+
+
+def convert_keyed(
+    listing: DataFrame,
+    prefix: str,
+    out: str,
+    *,
+    split: str | None = None,
+    extensions: Iterable[str] | None = None,
+    present: DataFrame | None = None,
+    order: str = "parts",
+    key_width: int = 10,
+) -> DataFrame:
+    """Labelled listing (``path, key, size_bytes``) to a keyed dataset; gives the manifest row.
+
+    Class ids follow label order, and an unlabelled sample gets 0.  ``present`` names
+    the objects that still exist; the rest is left out before numbering.
+    """
+    samples = labelled_samples(listing, prefix, split=split, extensions=extensions)
+    ids = label_ids_sorted(samples)
+    if present is not None:
+        samples = skip_missing(samples, present)
+    coded = encode_labels(samples, ids, missing=0)
+    source = split_base(prefix, split).rstrip("/")
+    return keyed.write_keyed(
+        coded, out, ids, source=source, key_width=key_width, order=listing_order(order)
+    )
 
 
 def image_folder(
-    objects: DataFrame, prefix: str, *, split: str | None = None, extensions: Iterable[str] | None = None
+    listing: DataFrame, prefix: str, *, split: str | None = None, extensions: Iterable[str] | None = None
 ) -> DataFrame:
     """A labelled folder as a training table; class ids follow the sorted folder names."""
-    samples = labelled_samples(objects, prefix, split=split, extensions=extensions)
+    samples = labelled_samples(listing, prefix, split=split, extensions=extensions)
     return encode_labels(samples, label_ids_sorted(samples), missing=0)
+
+
+def read_for_training(spark: SparkSession, out: str, steps: Sequence[Step] = ()) -> DataFrame:
+    """``idx, key, label, image`` of a keyed dataset, decoded and transformed."""
+    records = keyed.read_keyed(spark, out)
+    images = records.select("idx", "key", "label", decoded(F.col("image")).alias("image"))
+    return transform_images(images, steps, levels=True) if steps else images

@@ -49,13 +49,23 @@ class Resize(Step):
 
 @dataclass(frozen=True)
 class Normalize(Step):
+    """Scale to 0..1 and standardise.
+
+    ``input_range`` "auto" divides by 255 only where a value lies outside 0..1, so a
+    nearly black image of levels stays as it is; "known" goes by the kind of image.
+    """
+
     mean: Sequence[float] | None = None
     std: Sequence[float] | None = None
+    input_range: str = "auto"
 
     def calls(self, name):
-        return [("normalize", vars(self).copy())]
+        first = [("to_unit", {})] if self.input_range == "known" else []
+        return [*first, ("normalize", {"mean": self.mean, "std": self.std})]
 
     def column(self, img, key, name, levels):
+        if self.input_range == "known":
+            img = pixels.to_unit(img, levels)
         return pixels.normalize(img, self.mean, self.std)
 
     def levels_after(self, levels):
@@ -175,6 +185,7 @@ class TrainView(Step):
             *shrink,
             ("random_crop", {"size": self.size, "seed": self.seed, "step": name}),
             ("random_mirror", {"p": self.mirror, "seed": self.seed, "step": name + ".mirror"}),
+            ("to_unit", {}),
             ("normalize", {"mean": pixels.IMAGENET_MEAN, "std": pixels.IMAGENET_STD}),
         ]
 
@@ -183,7 +194,7 @@ class TrainView(Step):
             return None
         cropped = pixels.random_crop(img, self.size, key, self.seed, name)
         seen = pixels.let(cropped, lambda im: pixels.random_mirror(im, key, self.seed, name + ".mirror", self.mirror))
-        return pixels.normalize(seen, pixels.IMAGENET_MEAN, pixels.IMAGENET_STD)
+        return pixels.normalize(pixels.to_unit(seen, levels), pixels.IMAGENET_MEAN, pixels.IMAGENET_STD)
 
     def levels_after(self, levels):
         return False
@@ -208,6 +219,7 @@ class AreaView(Step):
             *shrink,
             ("random_area_crop", {**window, "seed": self.seed, "step": name}),
             ("random_mirror", {"p": self.mirror, "seed": self.seed, "step": name + ".mirror"}),
+            ("to_unit", {}),
             ("normalize", {"mean": pixels.IMAGENET_MEAN, "std": pixels.IMAGENET_STD}),
         ]
 
