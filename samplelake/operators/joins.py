@@ -5,33 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from samplelake.staging import stage
+
 BROADCAST_ROWS = 100_000
-SALTS = 16
+HOT_ROWS = 1_000_000
+
 
+def fits_broadcast(narrow: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Count at most ``rows + 1`` rows; true where a side of short columns may be copied."""
+    return narrow.limit(rows + 1).count() <= rows
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``rows + 1`` rows; true where the side is small enough to copy."""
-    return df.limit(rows + 1).count() <= rows
 
+def _check(how: str) -> None:
+    if how not in ("left", "inner"):
+        raise ValueError("left rows are spread: use 'left' or 'inner'")
 
-def join_hot(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str = "left",
-    rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+
+def join_narrow(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "left", rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Join a large left side with hot keys to a right side unique in ``on``.
+    """Join with a dictionary: short columns, unique in ``on``.
 
-    A right side of checked size is broadcast.  A larger one is repeated once per
-    salt and the left rows of a key are spread over the salts, so no task gets a
-    whole hot key.
+    It is broadcast where its counted size allows, and joined by :func:`join_split`
+    where it has grown with the data.
     """
-    if how not in ("left", "inner"):
-        raise ValueError("join_hot keeps left rows: use 'left' or 'inner'")
+    _check(how)
     if fits_broadcast(right, rows):
         return left.join(F.broadcast(right), on, how)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn("_salt", spread).join(copies, [*on, "_salt"], how).drop("_salt")
+    return join_split(left, right, on, how)
+
+
+def join_split(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "left", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join with a side of any width, unique in ``on``, splitting the left's hot keys.
+
+    A key with more than ``hot_rows`` left rows is cut into portions of that size, and
+    only the right rows of such keys are repeated, once per portion.  The table of hot
+    keys that is broadcast has at most one row per ``hot_rows`` left rows.
+    """
+    _check(how)
+    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    copies = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int")
+    hot = F.broadcast(stage(counts.select(*on, copies.alias("_copies")), "hot"))
+    known = F.coalesce("_copies", F.lit(1))
+    # The row number tells even identical rows apart and is the same in a repeated task.
+    portion = (F.monotonically_increasing_id() % known).cast("int")
+    spread = left.join(hot, on, "left").withColumn("_portion", portion).drop("_copies")
+    repeated = (
+        right.join(hot, on, "left")
+        .withColumn("_portion", F.explode(F.sequence(F.lit(0), known - 1)))
+        .drop("_copies")
+    )
+    return spread.join(repeated, [*on, "_portion"], how).drop("_portion")

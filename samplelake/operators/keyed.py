@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samplelake.operators.joins import join_hot
+from samplelake.operators.joins import join_split
 
 
 def range_layout(dataset: DataFrame) -> DataFrame:
@@ -22,11 +22,11 @@ def lookup_batch(requests: DataFrame, dataset: DataFrame) -> DataFrame:
     """Every request with its record; null columns where the index is missing.
 
     Only the distinct requested indices meet the dataset.  The records found are
-    then given back to the requests, however often one index is asked for.
+    then given back to the requests; an index asked for very often is split.
     """
     wanted = requests.select("idx").distinct()
     hits = dataset.join(wanted, "idx", "left_semi")
-    return join_hot(requests, hits, ["idx"], "left")
+    return join_split(requests, hits, ["idx"], "left")
 
 
 def missing_keys(requests: DataFrame, dataset: DataFrame) -> DataFrame:

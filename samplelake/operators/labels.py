@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samplelake.operators.joins import join_hot
+from samplelake.operators.joins import join_narrow
 from samplelake.operators.numbering import number_rows
 
 
@@ -31,7 +31,7 @@ def encode_labels(
     df: DataFrame, ids: DataFrame, label: str = "label", missing: int | None = None, name: str = "cls_idx"
 ) -> DataFrame:
     """Add the class id of each row's label; ``missing`` replaces an unknown one."""
-    coded = join_hot(df, ids.select(label, F.col("idx").alias(name)), [label], "left")
+    coded = join_narrow(df, ids.select(label, F.col("idx").alias(name)), [label], "left")
     if missing is None:
         return coded
     return coded.withColumn(name, F.coalesce(F.col(name), F.lit(missing)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,9 +60,13 @@ def shard_manifest(
     shard_prefix: str = "shard",
     split: str | None = None,
     order: str = "key",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``shard, shard_idx, sample_idx, __key__, cls, source`` of labelled samples."""
-    numbered = number_rows(samples.select("key", "label"), listing_order(order), "pos")
+    """``shard, shard_idx, sample_idx, __key__, cls, source`` of labelled samples.
+
+    ``keep`` names further columns of the samples to carry along.
+    """
+    numbered = number_rows(samples.select("key", "label", *keep), listing_order(order), "pos")
     return with_shards(numbered, shard_size, split or shard_prefix).select(
         "shard",
         "shard_idx",
@@ -70,6 +74,7 @@ def shard_manifest(
         sample_key(F.col("key")).alias("__key__"),
         F.col("label").alias("cls"),
         F.col("key").alias("source"),
+        *keep,
     )
 
 

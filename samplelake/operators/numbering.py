@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from samplelake.functions.paths import shard_name
-from samplelake.operators.joins import join_hot
+from samplelake.operators.joins import join_narrow
 from samplelake.staging import stage
 
 DEFAULT_SHARD_SIZE = 2000
@@ -63,9 +63,9 @@ def number_within(
     global position in it.
     """
     numbered = number_rows(df, [*group, *order], "_global")
-    starts = numbered.groupBy(*group).agg(F.min("_global").alias("_start"))
+    starts = stage(numbered.groupBy(*group).agg(F.min("_global").alias("_start")), "starts")
     return (
-        join_hot(numbered, starts, group, "inner")
+        join_narrow(numbered, starts, group, "inner")
         .withColumn(name, F.col("_global") - F.col("_start"))
         .drop("_global", "_start")
     )

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +31,17 @@ from samplelake.operators.listing import (
     with_class_ids,
 )
 from samplelake.operators.listing import shard_manifest as manifest_of
-from samplelake.operators.numbering import shard_size_for
+from samplelake.operators.numbering import number_rows, shard_size_for
 from samplelake.operators.registry import append_scan
 from samplelake.plans.steps import Step, ToLevels, ToRgb, transform_images
 from samplelake.sources import keyed, objects, tables, tarshards
 from samplelake.sources.images import decode_images, decoded, encoded
 from samplelake.staging import stage
+from samplelake.streaming.incremental import drain, new_images
+
+# Work between two ledger entries, which is what a stopped job repeats at most.
+WAVE_FILES = 1_000_000
+WAVE_SHARDS = 20_000
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -125,28 +131,22 @@ def shard_dataset(
     parts = [
         _shard_split(listing, prefix, split, extensions, shard_size, num_shards, order) for split in splits
     ]
-    manifest = parts[0]
-    for part in parts[1:]:
-        manifest = manifest.unionByName(part)
+    numbered = stage(reduce(DataFrame.unionByName, parts), "sharded")
+    manifest = numbered.drop("path")
     tables.write_manifest(manifest, out)
-    spark = listing.sparkSession
-    written = spark.read.schema(manifest.schema).parquet(f"{out.rstrip('/')}/metadata")
-    paths = listing.select("path", F.col("key").alias("source"))
-    rows = written.join(paths, "source").select(
-        "shard", "sample_idx", F.col("__key__").alias("key"), "cls_idx", "path"
-    )
-    shards = written.select("shard").distinct().count()
+    rows = numbered.select("shard", "sample_idx", F.col("__key__").alias("key"), "cls_idx", "path")
+    shards = numbered.select("shard").distinct().count()
     fetched = objects.fetch_content(tarshards.place_by_shard(rows, shards))
     members = tarshards.sample_members(F.col("content"), F.col("cls_idx"))
     tarshards.write_placed_shards(fetched.withColumn("members", members), out)
-    return written
+    return manifest
 
 
 def _shard_split(listing, prefix, split, extensions, shard_size, num_shards, order) -> DataFrame:
     samples = labelled_samples(listing, prefix, split=split, extensions=extensions)
     total = samples.count() if num_shards is not None else 0
     size = shard_size_for(total, num_shards, shard_size)
-    return with_class_ids(manifest_of(samples, size, split=split, order=order), size)
+    return with_class_ids(manifest_of(samples, size, split=split, order=order, keep=["path"]), size)
 
 
 # --- transform --------------------------------------------------------------------
@@ -193,93 +193,128 @@ def transform_flat(
     job: str,
     decoder: str = "spark",
     dest_prefix: str = "",
+    wave: int = WAVE_FILES,
 ) -> Timings:
-    """Transform the images below ``root`` that the job's ledger does not hold.
+    """Transform the images below ``root`` that are not done yet, ``wave`` files at a time.
 
-    ``decoder="spark"`` uses the JVM's image source; ``"python"`` opens pending files
-    only and decodes what the installed codecs allow.  Results are a Parquet table
-    with one folder per run; a run counts once its ledger rows exist.
+    ``decoder="spark"`` runs the JVM's image source as a stream of files: its
+    checkpoint is the ledger, so a finished file is never opened again.
+    ``decoder="python"`` joins the listing with the ledger and opens pending files
+    with the codecs installed.
     """
-    timings, base, run = Timings(), out.rstrip("/"), uuid.uuid4().hex
+    if decoder == "spark":
+        return _transform_stream(spark, root, steps, out, dest_prefix, wave)
+    return _transform_pending(spark, root, steps, out, job, dest_prefix, wave)
+
+
+def _transform_stream(spark, root, steps, out, dest_prefix, wave) -> Timings:
+    timings, base = Timings(), out.rstrip("/")
+    with timings.phase("process"):
+        images = new_images(spark, root, wave)
+        result = transform_images(images, [ToRgb(bgr=True), *steps, ToLevels()], levels=True, binary=True)
+        drain(
+            result.withColumn("dest", dest_key(F.lit(dest_prefix), F.col("key"))),
+            f"{base}/images",
+            f"{base}/progress",
+        )
+    return timings
+
+
+def _transform_pending(spark, root, steps, out, job, dest_prefix, wave) -> Timings:
+    timings, base = Timings(), out.rstrip("/")
     ledger_path = f"{base}/ledger"
     with timings.phase("list"):
         listed = filter_images(objects.list_objects(spark, root))
-        done = read_ledger(spark, ledger_path, job)
-        todo = stage(led.pending_work(listed, done, ["key"]), "todo")
-    if todo.isEmpty():
-        return timings
-    with timings.phase("process"):
-        if decoder == "spark":
-            images = decode_images(spark, root).filter(F.col("image").isNotNull())
-            images = images.join(todo.select("key"), "key", "left_semi").select("key", "image")
-            chain = [ToRgb(bgr=True), *steps, ToLevels()]
-        else:
-            placed = objects.spread_by_bytes(todo, "size_bytes", ["key"])
+        todo = led.pending_work(listed, read_ledger(spark, ledger_path, job), ["key"])
+        numbered = number_rows(todo, ["key"])
+    for part in waves(numbered, wave):
+        run = uuid.uuid4().hex
+        with timings.phase("process"):
+            placed = objects.spread_by_bytes(part, "size_bytes", ["key"])
             images = objects.fetch_content(placed).select("key", decoded(F.col("content")).alias("image"))
-            images = images.filter(F.col("image").isNotNull())
-            chain = [*steps, ToLevels()]
-        result = transform_images(images, chain, levels=True, binary=True)
-        dest = dest_key(F.lit(dest_prefix), F.col("key"))
-        result.withColumn("dest", dest).write.parquet(f"{base}/images/run={run}")
-    with timings.phase("ledger"):
-        produced = spark.read.parquet(f"{base}/images/run={run}").select("key")
-        finished = led.produced_only(todo, produced, ["key"])
-        append_to_ledger(finished.select("key"), ledger_path, job, run)
+            result = transform_images(
+                images.filter(F.col("image").isNotNull()), [*steps, ToLevels()], levels=True, binary=True
+            )
+            written = f"{base}/images/run={run}"
+            result.withColumn("dest", dest_key(F.lit(dest_prefix), F.col("key"))).write.parquet(written)
+        with timings.phase("ledger"):
+            finished = led.produced_only(part, spark.read.parquet(written).select("key"), ["key"])
+            append_to_ledger(finished.select("key"), ledger_path, job, run)
     return timings
 
 
+def waves(numbered: DataFrame, size: int, pos: str = "pos") -> Iterator[DataFrame]:
+    """Portions of a numbered table; the driver sees only how many there are."""
+    top = numbered.agg(F.max(pos).alias("top")).first()["top"]
+    for start in range(0, 0 if top is None else top + 1, size):
+        yield numbered.filter(F.col(pos).between(start, start + size - 1))
+
+
 def read_transformed(spark: SparkSession, out: str) -> DataFrame:
-    """Transformed images of completed runs: ``key, dest, image, run``."""
+    """``key, image, dest`` of transformed images.
+
+    A stream's output counts file by file; a run's once its ledger rows exist.
+    """
     base = out.rstrip("/")
+    images = spark.read.parquet(f"{base}/images")
+    if "run" not in images.columns:
+        return images
     runs = read_ledger(spark, f"{base}/ledger").select(F.col("run_id").alias("run")).distinct()
-    return spark.read.parquet(f"{base}/images").join(runs, "run", "left_semi")
+    return images.join(runs, "run", "left_semi").drop("run")
 
 
 def transform_sharded(
-    spark: SparkSession, root: str, steps: Sequence[Step], out: str, *, job: str
+    spark: SparkSession, root: str, steps: Sequence[Step], out: str, *, job: str, wave: int = WAVE_SHARDS
 ) -> Timings:
     """Transform a sharded dataset: one output tar per input tar with pending samples.
 
     A shard with any pending sample is rebuilt whole.  Samples are joined with the
     manifest on shard and place while they are index rows; reading, transforming and
-    writing then happen in the one task that owns the shard.
+    writing then happen in the one task that owns the shard.  After every ``wave``
+    shards the ledger is extended.
     """
-    timings, base, run = Timings(), out.rstrip("/"), uuid.uuid4().hex
+    timings, base = Timings(), out.rstrip("/")
     ledger_path = f"{base}/ledger"
     with timings.phase("metadata_load"):
         manifest = tables.read_manifest(spark, root)
         pending = led.pending_work(manifest, read_ledger(spark, ledger_path, job), ["shard", "sample_idx"])
-        needed = stage(led.needed_shards(pending), "needed")
-    if needed.isEmpty():
-        return timings
-    with timings.phase("index"):
-        files = tarshards.list_shard_files(spark, root).join(needed, "shard", "left_semi")
-        index = tarshards.index_shards(files)
-    with timings.phase("process"):
-        known = led.join_manifest(index, manifest.select("shard", "sample_idx", "__key__", "cls"))
-        wanted = stage(known.filter(tarshards.has_place(F.col("places"))), "wanted")
-        placed = tarshards.place_by_shard(wanted, needed.count())
-        fetched = tarshards.fetch_members(placed)
-        image = F.coalesce(*[F.col("members")[m] for m in tarshards.IMAGE_MEMBERS])
-        images = fetched.select(
-            "shard", "sample_idx", "key", F.col("members")["cls"].alias("_cls"), decoded(image).alias("image")
-        ).filter(F.col("image").isNotNull())
-        result = transform_images(images, [*steps, ToLevels()], levels=True, binary=True)
-        members = F.map_filter(
-            F.create_map(F.lit("png"), encoded(F.col("image")), F.lit("cls"), F.col("_cls")),
-            lambda _, data: data.isNotNull(),
-        )
-        written = tarshards.write_placed_shards(
-            result.select("shard", "sample_idx", "key", members.alias("members")), base
-        )
-    with timings.phase("ledger"):
-        finished = led.produced_only(wanted, written, ["shard"])
-        append_to_ledger(
-            finished.select("shard", "sample_idx", F.col("__key__").alias("key")), ledger_path, job, run
-        )
+        needed = number_rows(led.needed_shards(pending), ["shard"])
+        files = tarshards.list_shard_files(spark, root)
+    rows = manifest.select("shard", "sample_idx", "__key__")
+    for part in waves(needed, wave):
+        with timings.phase("index"):
+            index = tarshards.index_shards(files.join(part, "shard", "left_semi"))
+            known = led.join_manifest(index, rows).filter(tarshards.has_place(F.col("places")))
+            wanted = stage(known, "wanted")
+        with timings.phase("process"):
+            placed = tarshards.place_by_shard(wanted, part.count())
+            written = tarshards.write_placed_shards(_transformed_samples(placed, steps), base)
+        with timings.phase("ledger"):
+            finished = led.produced_only(wanted, written, ["shard"])
+            append_to_ledger(
+                finished.select("shard", "sample_idx", F.col("__key__").alias("key")),
+                ledger_path,
+                job,
+                uuid.uuid4().hex,
+            )
     return timings
 
 
+def _transformed_samples(index: DataFrame, steps: Sequence[Step]) -> DataFrame:
+    """``shard, key, members`` of transformed samples, in the order of the index rows."""
+    members = F.col("members")
+    image = F.coalesce(*[members[m] for m in tarshards.IMAGE_MEMBERS])
+    images = tarshards.fetch_members(index).select(
+        "shard", "key", members["cls"].alias("_cls"), decoded(image).alias("image")
+    )
+    result = transform_images(
+        images.filter(F.col("image").isNotNull()), [*steps, ToLevels()], levels=True, binary=True
+    )
+    both = F.create_map(F.lit("png"), encoded(F.col("image")), F.lit("cls"), F.col("_cls"))
+    present = F.map_filter(both, lambda _, data: data.isNotNull())
+    return result.select("shard", "key", present.alias("members"))
+
+
 # --- keyed datasets and training views ------------------------------------------------
 
 

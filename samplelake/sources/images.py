@@ -27,6 +27,11 @@ def decode_images(spark: SparkSession, root: str) -> DataFrame:
     bytes in BGR order: put ``ToRgb(bgr=True)`` first in a chain.
     """
     files = spark.read.format("image").option("recursiveFileLookup", True).load(root)
+    return image_rows(files, root)
+
+
+def image_rows(files: DataFrame, root: str) -> DataFrame:
+    """Rows of the image source, in the columns of :func:`decode_images`."""
     key = key_under(F.col("image.origin"), root)
     pixels = F.struct(
         F.col("image.height").alias("h"),

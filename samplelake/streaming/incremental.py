@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from samplelake.operators.scanning import validate_bytes
 from samplelake.functions.paths import is_image_key
+from samplelake.operators.scanning import validate_bytes
+from samplelake.sources.images import image_rows
 from samplelake.sources.objects import key_under
 
+LISTING_SETTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_PER_CORE = 4
+
+IMAGE_SCHEMA = (
+    "image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>"
+)
 FILE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -31,20 +41,42 @@ def new_objects(spark: SparkSession, root: str, files_per_batch: int | None = No
     ).filter(is_image_key(F.col("key")))
 
 
+def new_images(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
+    """Stream of decoded images below ``root``: ``key, image``, pixels in BGR order."""
+    reader = spark.readStream.format("image").schema(IMAGE_SCHEMA).option("recursiveFileLookup", True)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    images = image_rows(reader.load(root), root)
+    return images.filter(F.col("image").isNotNull()).select("key", "image")
+
+
+@contextmanager
+def listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Look files up with a few tasks per core instead of one per file."""
+    usual = spark.conf.get(LISTING_SETTING)
+    few = min(int(usual), LISTING_PER_CORE * spark.sparkContext.defaultParallelism)
+    spark.conf.set(LISTING_SETTING, str(few))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING_SETTING, usual)
+
+
 def drain(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
     """Process all that has arrived, write it, and stop; gives everything written so far.
 
     The checkpoint remembers finished input, so a later call continues from there.
     """
-    run = (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .option("path", out)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
+    with listing_tasks(stream.sparkSession):
+        run = (
+            stream.writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .option("path", out)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        run.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
