@@ -39,6 +39,16 @@ class Files:
         system, base = self._open[scheme, authority]
         return system, base + inner
 
+    def entries(self, folder: str) -> list[tuple[str, int | None]]:
+        """Full paths directly in a folder, with sizes; folders have none."""
+        scheme, authority, _ = split_path(folder)
+        system, inner = self.at(folder)
+        prefix = {"file": "file:", "hdfs": f"hdfs://{authority}"}.get(scheme, f"{scheme}://")
+        found = system.get_file_info(fs.FileSelector(inner))
+        return [
+            (prefix + f.path, None if f.type == fs.FileType.Directory else f.size) for f in found
+        ]
+
     def open(self, path: str):
         system, inner = self.at(path)
         return system.open_input_file(inner)

@@ -7,6 +7,7 @@ takes that as well.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -19,6 +20,8 @@ from samplelake.sources.files import Files, split_path
 from samplelake.staging import stage
 
 FETCH_BYTES = 16 << 20
+LISTING_ROWS = 10_000
+LISTING_FOLDERS = 64
 TASK_BYTES = 256 << 20
 
 
@@ -29,24 +32,72 @@ def key_under(path: Column, root: str) -> Column:
     return F.substring(inner, len(base) + 1, 1 << 30)
 
 
+def _walk(files: Files, folders: list[str], stop_at: int | None) -> Iterator[pa.RecordBatch]:
+    """Entries below some folders, one folder at a time.
+
+    With ``stop_at``, the walk ends once that many folders wait, and names them.
+    """
+    waiting = deque(folders)
+    while waiting and (stop_at is None or len(waiting) < stop_at):
+        folder = waiting.popleft()
+        found = [(path, size) for path, size in files.entries(folder) if not path.endswith(".part")]
+        waiting.extend(path for path, size in found if size is None)
+        yield from _entries([f for f in found if f[1] is not None], False)
+    yield from _entries([(path, 0) for path in waiting], True)
+
+
+def _entries(rows: list, folder: bool) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(rows), LISTING_ROWS):
+        paths, sizes = zip(*rows[start : start + LISTING_ROWS])
+        flags = pa.array([folder] * len(paths))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(paths), pa.array(sizes, pa.int64()), flags], ["path", "size_bytes", "folder"]
+        )
+
+
+def _walker(stop_at: int | None):
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = Files()
+        for batch in batches:
+            yield from _walk(files, batch.column(0).to_pylist(), stop_at)
+
+    return walk
+
+
 def list_objects(spark: SparkSession, root: str, extensions: Iterable[str] | None = None) -> DataFrame:
-    """``path, key, size_bytes`` of the objects below ``root``; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    listed = files.select(
-        "path", key_under(F.col("path"), root).alias("key"), F.col("length").alias("size_bytes")
-    )
+    """``path, key, size_bytes`` of all objects below ``root``, empty ones included.
+
+    One task finds enough folders to share; the rest of the listing is done by tasks,
+    folder by folder, and never passes through the driver.
+    """
+    schema = "path string, size_bytes long, folder boolean"
+    top = spark.createDataFrame([(root,)], "path string")
+    first = stage(top.mapInArrow(_walker(LISTING_FOLDERS), schema), "listing")
+    folders = first.filter("folder").select("path").repartition(LISTING_FOLDERS, "path")
+    found = first.filter("NOT folder").unionByName(folders.mapInArrow(_walker(None), schema))
+    listed = found.select("path", key_under(F.col("path"), root).alias("key"), "size_bytes")
     return filter_objects(listed, extensions)
 
 
+def unseen_by_scans(key: Column, size: Column) -> Column:
+    """Objects a Spark file scan passes over: empty ones, and hidden names."""
+    return (size == 0) | key.rlike(r"(^|/)([.]|_(?![^/]*=))")
+
+
 def read_objects(spark: SparkSession, root: str, images_only: bool = False) -> DataFrame:
-    """Every object below ``root`` with its bytes; parallel by file split."""
+    """Every object below ``root`` with its bytes; parallel by file split.
+
+    The few objects a file scan passes over are read by path.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    objects = files.select(
+    scanned = files.select(
         "path",
         key_under(F.col("path"), root).alias("key"),
         F.col("length").alias("size_bytes"),
         "content",
     )
+    passed = list_objects(spark, root).filter(unseen_by_scans(F.col("key"), F.col("size_bytes")))
+    objects = scanned.unionByName(fetch_content(passed))
     return filter_objects(objects, IMAGE_EXTENSIONS if images_only else None)
 
 
