@@ -23,13 +23,13 @@ O = v.OBJECTS
 def text_files(spark, sf):
     """The objects view as one file per object."""
     root = staging_path(spark, "objects")
-    objects.write_objects(v.objects(spark, sf), root, content="body")
+    objects.write_objects(v.spread(v.objects(spark, sf)), root, content="body")
     return root
 
 
 def blob_files(spark, sf):
     root = staging_path(spark, "blobs-files")
-    objects.write_objects(v.blobs(spark, sf), root)
+    objects.write_objects(v.spread(v.blobs(spark, sf)), root)
     return root
 
 

@@ -105,6 +105,17 @@ def resize_lanczos(spark, sf):
     return on(v.rgb_u8, [st.Resize((6, 5))], levels=True)(spark, sf)
 
 
+@query("resize_normalize", W(v.IMAGES, v.TILES, weights_sql(("w", 64, 32))) + f""",
+  across AS (SELECT key, y, o AS x, ch, {ROUNDED} AS val FROM tiles JOIN weights ON i = x AND k <> 0
+             GROUP BY key, y, o, ch),
+  down AS (SELECT key, o AS y, x, ch, {ROUNDED} AS val FROM across JOIN weights ON i = y AND k <> 0
+           GROUP BY key, o, x, ch),
+  cells AS (SELECT key, (y * 32 + x) * 3 + ch + 1 AS pos, (val / 255)::FLOAT AS val FROM down)
+  {CELL_SUMS}""")
+def resize_normalize(spark, sf):
+    return on(v.tiles, [st.Resize((32, 32)), st.Normalize()], levels=True)(spark, sf)
+
+
 query("centre_pad", W(v.RGB, pixels_sql("rgb", 6, 3)) + """SELECT key, 189::BIGINT AS n, round(sum(val), 4) AS total,
   round(sum(val * (((y + 1) * 9 + x + 1) * 3 + ch + 1)), 3) AS placed FROM pixels GROUP BY key""")(
     column_on(v.rgb, lambda i: pixels.centre_pad(i, 7, 9))

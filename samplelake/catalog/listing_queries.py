@@ -9,6 +9,7 @@ from samplelake.catalog.registering import query
 from samplelake.functions import paths as p
 from samplelake.functions import values as val
 from samplelake.operators import batches, keyed, labels, ledger, listing, metrics, numbering, registry, scanning, selection
+from samplelake.staging import stage
 
 W = v.with_views
 O = v.OBJECTS
@@ -602,9 +603,10 @@ REQUESTS = """requests AS (SELECT event_id, user_id AS idx FROM events)"""
 
 
 def keyed_samples(spark, sf):
-    return numbering.number_rows(
+    numbered = numbering.number_rows(
         v.samples(spark, sf).select("key", "label", F.col("size_bytes").alias("n_bytes")), ["key"], "idx"
     )
+    return stage(keyed.range_layout(numbered), "keyed")
 
 
 @query("lookup_one", W(O, v.SAMPLES, KEYED) + "SELECT idx, key, label, n_bytes FROM keyed WHERE idx = 17")

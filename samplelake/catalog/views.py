@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least a task per core.  One small file is one task, whatever work its rows cause."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 4 * cores else df.repartition(cores)
+
+
 # --- listings ---------------------------------------------------------------
 
 
@@ -229,7 +235,7 @@ def _unit(x):
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """8x8 single-channel float images in 0..1."""
-    e = table(spark, sf_dir, "embeddings")
+    e = spread(table(spark, sf_dir, "embeddings"))
     return e.select(
         F.format_string("%010d", "vec_id").alias("key"),
         "label",
@@ -248,7 +254,7 @@ IMAGES = """images AS (
 
 def rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """4x6 RGB float images: the 64 values and eight grey ones."""
-    e = table(spark, sf_dir, "embeddings")
+    e = spread(table(spark, sf_dir, "embeddings"))
     px = F.concat(F.transform("embedding", _unit), F.array_repeat(F.lit(0.25).cast("float"), 8))
     return e.select(
         F.format_string("%010d", "vec_id").alias("key"),
@@ -285,6 +291,29 @@ RGB_U8 = """rgb_u8 AS (
   SELECT key, label, list_transform(px, lambda x: floor(x::DOUBLE * 255)::FLOAT) AS px FROM rgb)"""
 
 
+def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """64x64 RGB images of levels: every row repeats the 64 values, shifted by the row."""
+    e = spread(table(spark, sf_dir, "embeddings"))
+    level = F.transform("embedding", lambda x: F.floor(_unit(x).cast("double") * 255).cast("float"))
+
+    def row(y):
+        at = (y * 7) % 64
+        turned = F.concat(F.slice(F.col("line"), at + 1, F.lit(64) - at), F.slice(F.col("line"), F.lit(1), at))
+        return F.flatten(F.array_repeat(turned, 3))
+
+    rows = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(63)), row))
+    return e.select(F.format_string("%010d", "vec_id").alias("key"), level.alias("line")).select(
+        "key",
+        F.struct(F.lit(64).alias("h"), F.lit(64).alias("w"), F.lit(3).alias("c"), rows.alias("px")).alias("image"),
+    )
+
+
+TILES = """tiles AS (
+  SELECT key, y, x, ch, line[(((x * 3 + ch) + 7 * y) % 64 + 1)::INTEGER] AS val
+  FROM (SELECT key, list_transform(px, lambda v: floor(v::DOUBLE * 255)) AS line FROM images),
+       range(64) a(y), range(64) b(x), range(3) d(ch))"""
+
+
 def with_views(*views: str) -> str:
     """``WITH`` clause of the given view definitions."""
     return "WITH " + ",\n".join(views) + "\n"

@@ -28,7 +28,7 @@ def epoch_batches(
     batches = shuffled.drop("_order").select(
         *samples.columns,
         F.lit(epoch).alias("epoch"),
-        F.floor(F.col("_pos") / batch_size).alias("batch_id"),
+        F.call_function("div", F.col("_pos"), F.lit(batch_size).cast("long")).alias("batch_id"),
         (F.col("_pos") % batch_size).cast("int").alias("batch_pos"),
     )
     if not pad_last:

@@ -18,7 +18,7 @@ from samplelake.staging import stage
 
 DEFAULT_SHARD_SIZE = 2000
 # Above this, Catalyst stops keeping only the first rows of a group before the shuffle.
-GROUP_LIMIT = 1000
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 _PARTITION_SHIFT = 33
 _ROW_MASK = (1 << _PARTITION_SHIFT) - 1
@@ -78,7 +78,7 @@ def first_per_group(df: DataFrame, group: list[str], order: list[Column | str],
     rows of a group leave each task.  For a large one, groups are ranked across
     range partitions instead.
     """
-    if n <= GROUP_LIMIT:
+    if n <= int(df.sparkSession.conf.get(GROUP_LIMIT)):
         rank = F.row_number().over(Window.partitionBy(*group).orderBy(*_columns(order)))
         return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
     return number_within(df, group, order, "_rank").filter(F.col("_rank") < n).drop("_rank")
@@ -93,9 +93,8 @@ def shard_size_for(total: int, shards: int | None, size: int | None = None) -> i
 
 def with_chunks(df: DataFrame, size: int, pos: str = "pos") -> DataFrame:
     """Cut a numbered sequence into chunks of ``size``; the last one may be short."""
-    return df.withColumn("chunk", F.floor(F.col(pos) / F.lit(size))).withColumn(
-        "chunk_pos", F.col(pos) % F.lit(size)
-    )
+    whole = F.call_function("div", F.col(pos), F.lit(size).cast("long"))
+    return df.withColumn("chunk", whole).withColumn("chunk_pos", F.col(pos) % F.lit(size))
 
 
 def with_shards(df: DataFrame, size: int, prefix: str = "shard", pos: str = "pos") -> DataFrame:

@@ -26,6 +26,23 @@ STEP_KINDS: dict[str, type[Step]] = {
 }
 
 
+# The keys of a shard config.
+SHARD_KEYS = ("input_root", "output_dir", "shard_size", "extensions", "splits", "upload_uri")
+
+
+def shard_config(source: str | os.PathLike | Mapping[str, Any], **given: Any) -> dict[str, Any]:
+    """Settings of a shard job: values given in the call win over the config's."""
+    config = dict(load_config(source) or {})
+    config.update({k: v for k, v in given.items() if v is not None})
+    for name in ("input_root", "output_dir"):
+        if not config.get(name):
+            raise ValueError(f"Shard config needs '{name}'")
+    extensions = config.get("extensions")
+    if isinstance(extensions, str):
+        config["extensions"] = [e.strip() for e in extensions.split(",")]
+    return {k: config.get(k) for k in (*SHARD_KEYS, "num_shards")}
+
+
 def load_config(source: str | os.PathLike | Mapping[str, Any]) -> Any:
     """The config as Python data, from a YAML file or given directly."""
     if isinstance(source, Mapping):

@@ -33,6 +33,7 @@ from samplelake.operators.listing import (
 from samplelake.operators.listing import shard_manifest as manifest_of
 from samplelake.operators.numbering import number_rows, shard_size_for
 from samplelake.operators.registry import append_scan
+from samplelake.plans.config import shard_config
 from samplelake.plans.steps import Step, ToLevels, ToRgb, transform_images
 from samplelake.sources import keyed, objects, tables, tarshards
 from samplelake.sources.images import decode_images, decoded, encoded
@@ -142,6 +143,30 @@ def shard_dataset(
     return manifest
 
 
+def shard_from_config(spark: SparkSession, source, **given) -> DataFrame:
+    """Shard a dataset as a config says, every split of it; gives the manifest.
+
+    With ``upload_uri`` the shards and the manifest are copied there as well.
+    """
+    config = shard_config(source, **given)
+    out = config["output_dir"]
+    manifest = shard_dataset(
+        objects.list_objects(spark, config["input_root"]),
+        "",
+        out,
+        splits=config["splits"] or (None,),
+        extensions=config["extensions"],
+        shard_size=config["shard_size"],
+        num_shards=config["num_shards"],
+    )
+    if config["upload_uri"]:
+        key = F.col("key")
+        made = objects.list_objects(spark, out)
+        made = made.filter(key.endswith(".tar") | (key.startswith("metadata/") & key.endswith(".parquet")))
+        objects.copy_objects(made, config["upload_uri"])
+    return manifest
+
+
 def _shard_split(listing, prefix, split, extensions, shard_size, num_shards, order) -> DataFrame:
     samples = labelled_samples(listing, prefix, split=split, extensions=extensions)
     total = samples.count() if num_shards is not None else 0

@@ -21,7 +21,7 @@ from samplelake.staging import stage
 
 FETCH_BYTES = 16 << 20
 LISTING_ROWS = 10_000
-LISTING_FOLDERS = 64
+LISTING_TASKS = 256
 TASK_BYTES = 256 << 20
 
 
@@ -68,15 +68,17 @@ def list_objects(spark: SparkSession, root: str, extensions: Iterable[str] | Non
     """``path, key, size_bytes`` of all objects below ``root``, empty ones included.
 
     One task finds enough folders to share; the rest of the listing is done by tasks,
-    folder by folder, and never passes through the driver.
+    folder by folder, and never passes through the driver.  The listing is kept as a
+    table, so that its users do not walk the store again.
     """
     schema = "path string, size_bytes long, folder boolean"
-    top = spark.createDataFrame([(root,)], "path string")
-    first = stage(top.mapInArrow(_walker(LISTING_FOLDERS), schema), "listing")
-    folders = first.filter("folder").select("path").repartition(LISTING_FOLDERS, "path")
+    tasks = min(LISTING_TASKS, spark.sparkContext.defaultParallelism)
+    top = spark.range(0, 1, 1, 1).select(F.lit(root).alias("path"))
+    first = stage(top.mapInArrow(_walker(2 * tasks), schema), "folders")
+    folders = first.filter("folder").select("path").repartition(tasks, "path")
     found = first.filter("NOT folder").unionByName(folders.mapInArrow(_walker(None), schema))
     listed = found.select("path", key_under(F.col("path"), root).alias("key"), "size_bytes")
-    return filter_objects(listed, extensions)
+    return filter_objects(stage(listed, "listing"), extensions)
 
 
 def unseen_by_scans(key: Column, size: Column) -> Column:
@@ -146,6 +148,12 @@ def fetch_content(rows: DataFrame, path: str = "path", name: str = "content") ->
     return rows.mapInArrow(fetch, schema)
 
 
+def copy_objects(listing: DataFrame, root: str) -> DataFrame:
+    """Copy listed objects below ``root`` under the same keys; gives what was written."""
+    placed = spread_by_bytes(listing.select("path", "key", "size_bytes"), "size_bytes", ["key"])
+    return write_objects(fetch_content(placed), root)
+
+
 def write_objects(rows: DataFrame, root: str, key: str = "key", content: str = "content") -> DataFrame:
     """Write each row's bytes below ``root``; gives ``key, size_bytes`` of what was written."""
     base = root.rstrip("/")

@@ -223,6 +223,24 @@ def test_every_split_is_sharded(spark, tmp_path):
     assert names(read) == sorted(n.rsplit("/", 1)[1][:-4] for n in files)
 
 
+def test_shard_config(spark, tmp_path):
+    files = {f"{s}/c{i}/{s}{i}.png": encode_png(picture(4, 4, i)) for s in ("train", "val") for i in range(3)}
+    root = put(tmp_path / "in", files | {"train/c0/x.gif": b"GIF89a"})
+    path = tmp_path / "shard.yaml"
+    path.write_text(
+        f"input_root: {root}\noutput_dir: {tmp_path}/out\nshard_size: 2\nextensions: [png, gif]\n"
+        f"splits: [train, val]\nupload_uri: {tmp_path}/copy\n"
+    )
+    manifest = jobs.shard_from_config(spark, str(path), shard_size=3)
+    assert names(manifest.select("shard").distinct(), "shard") == ["train_00000.tar", "train_00001.tar", "val_00000.tar"]
+    assert names(tarshards.list_shard_files(spark, f"{tmp_path}/copy"), "shard") == [
+        "train_00000.tar", "train_00001.tar", "val_00000.tar",
+    ]
+    assert tables.read_manifest(spark, f"{tmp_path}/copy").count() == 7
+    with pytest.raises(ValueError, match="output_dir"):
+        jobs.shard_from_config(spark, {"input_root": root})
+
+
 def test_dotted_key_is_refused(spark, tmp_path):
     rows = sample_rows(spark, 1).withColumn("key", F.lit("a.b"))
     with pytest.raises(Exception, match="a dot in a sample key"):

@@ -84,14 +84,16 @@ def test_numbers_over_many_partitions(spark):
     assert [r["pos"] for r in got] == list(range(20000))
 
 
-def test_first_per_group_both_ways(spark, monkeypatch):
+def test_first_per_group_both_ways(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 40).cast("string")).alias("g"),
         F.col("id").alias("pos"),
     )
     by_window = {tuple(r) for r in numbering.first_per_group(df, ["g"], ["pos"], 20).collect()}
-    monkeypatch.setattr(numbering, "GROUP_LIMIT", 1)
+    usual = spark.conf.get(numbering.GROUP_LIMIT)
+    spark.conf.set(numbering.GROUP_LIMIT, "1")
     by_range = {tuple(r) for r in numbering.first_per_group(df, ["g"], ["pos"], 20).select("g", "pos").collect()}
+    spark.conf.set(numbering.GROUP_LIMIT, usual)
     assert by_window == by_range
     assert sum(1 for g, _ in by_range if g == "hot") == 20
 
