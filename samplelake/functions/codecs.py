@@ -1,12 +1,18 @@
-"""Lossless image bytes without extra packages: 8-bit PNG."""
+"""Image bytes to levels and back: 8-bit PNG, and other formats where a codec is installed."""
 
 from __future__ import annotations
 
+import io
 import struct
 import zlib
 
 import numpy as np
 
+try:  # a full codec, where the cluster has one
+    from PIL import Image as _pillow
+except ImportError:
+    _pillow = None
+
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 # Channels by PNG colour type, and the reverse.
 CHANNELS = {0: 1, 2: 3, 4: 2, 6: 4}
@@ -79,3 +85,18 @@ def decode_png(data: bytes) -> np.ndarray:
     for y in range(h):
         above = out[y] = _unfilter(int(rows[y, 0]), rows[y, 1:], above, step)
     return out.reshape(h, w, step)
+
+
+def decode_bytes(data: bytes | None) -> np.ndarray | None:
+    """RGB levels of image bytes, or None where they cannot be decoded."""
+    if data is None:
+        return None
+    try:
+        if _pillow is not None:
+            return np.array(_pillow.open(io.BytesIO(data)).convert("RGB"))
+        levels = decode_png(data)
+    except (ValueError, OSError):
+        return None
+    if levels.shape[-1] in (2, 4):
+        levels = levels[..., :-1]
+    return np.repeat(levels, 3, axis=-1) if levels.shape[-1] == 1 else levels

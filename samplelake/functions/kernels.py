@@ -8,15 +8,19 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+from samplelake.functions.codecs import decode_bytes, encode_png
 from samplelake.functions.pixels import MIN_STD, TINY
 from samplelake.functions.values import MASK32, MIX_CONSTANT, RANGE32
 
 PRECISION = 22
 STACK_BYTES = 32 << 20
+FIRST_ROWS = 16
+MOST_ROWS = 2048
 
 
 # --- draws --------------------------------------------------------------------
@@ -365,62 +369,93 @@ KERNELS = {
 
 # --- Arrow ----------------------------------------------------------------------
 
+Images = list  # of HWC arrays, or None where there is no image
 
-def _pixels(px: pa.Array, row: int, levels: bool) -> np.ndarray:
-    value = px[row]
-    if pa.types.is_binary(px.type) or pa.types.is_large_binary(px.type):
-        return np.frombuffer(value.as_buffer(), dtype=np.uint8)
-    flat = value.values.to_numpy(zero_copy_only=False)
-    return flat.astype(np.uint8) if levels else flat
 
-
-def run_chain(images: pa.StructArray, keys: list[str], calls: list[tuple[str, dict]], levels: bool,
-              binary: bool, tables: dict) -> pa.StructArray:
-    """Run a chain over one Arrow batch, stacking images of equal size."""
+def read_structs(images: pa.StructArray, levels: bool) -> Images:
+    """Images of a struct array; pixels are bytes, or floats that hold levels or not."""
     h, w, c = (images.field(n).to_numpy(zero_copy_only=False) for n in ("h", "w", "c"))
-    px = images.field("px")
-    out: list = [None] * len(images)
-    groups: dict[tuple, list[int]] = {}
-    valid = images.is_valid().to_numpy(zero_copy_only=False)
+    px, valid = images.field("px"), images.is_valid().to_numpy(zero_copy_only=False)
+    out: Images = [None] * len(images)
     for row in np.flatnonzero(valid):
-        groups.setdefault((int(h[row]), int(w[row]), int(c[row])), []).append(int(row))
-    for shape, rows in groups.items():
-        step = max(1, STACK_BYTES // max(1, 8 * shape[0] * shape[1] * shape[2]))
-        for start in range(0, len(rows), step):
-            part = rows[start : start + step]
-            stack = np.stack([_pixels(px, r, levels).reshape(shape) for r in part])
-            names = [keys[r] for r in part]
-            for name, options in calls:
-                stack = KERNELS[name](stack, names, tables, **options)
-            for r, im in zip(part, stack):
-                out[r] = np.ascontiguousarray(im)
-    return _pack(out, binary)
-
-
-def _pack(out: list, binary: bool) -> pa.StructArray:
+        shape = (int(h[row]), int(w[row]), int(c[row]))
+        if pa.types.is_binary(px.type):
+            flat = np.frombuffer(px[row].as_buffer(), dtype=np.uint8)
+        else:
+            flat = px[row].values.to_numpy(zero_copy_only=False)
+            flat = flat.astype(np.uint8) if levels else flat
+        out[row] = flat.reshape(shape)
+    return out
+
+
+def read_encoded(content: pa.Array) -> Images:
+    return [decode_bytes(data) for data in content.to_pylist()]
+
+
+def run_chain(images: Images, keys: list[str], calls: list[tuple[str, dict]], tables: dict) -> Images:
+    """Run the kernels over images, stacking those of equal size."""
+    out: Images = [None] * len(images)
+    groups: dict[tuple, list[int]] = {}
+    for row, im in enumerate(images):
+        if im is not None:
+            groups.setdefault(im.shape, []).append(row)
+    for rows in groups.values():
+        stack = np.stack([images[r] for r in rows])
+        names = [keys[r] for r in rows]
+        for name, options in calls:
+            stack = KERNELS[name](stack, names, tables, **options)
+        for r, im in zip(rows, stack):
+            out[r] = np.ascontiguousarray(im)
+    return out
+
+
+def pack(images: Images, form: str) -> pa.Array:
+    """Images as PNG bytes ("png"), or structs of levels ("bytes") or "floats"."""
+    if form == "png":
+        return pa.array([None if im is None else encode_png(to_levels(im)) for im in images], pa.binary())
     sides = [
-        pa.array([None if im is None else im.shape[i] for im in out], pa.int32()) for i in range(3)
+        pa.array([None if im is None else im.shape[i] for im in images], pa.int32()) for i in range(3)
     ]
-    if binary:
-        px = pa.array([None if im is None else to_levels(im).tobytes() for im in out], pa.binary())
+    if form == "bytes":
+        px = pa.array([None if im is None else to_levels(im).tobytes() for im in images], pa.binary())
     else:
-        sizes = [0 if im is None else im.size for im in out]
-        flat = [im.ravel().astype(np.float32, copy=False) for im in out if im is not None]
+        sizes = [0 if im is None else im.size for im in images]
+        flat = [im.ravel().astype(np.float32, copy=False) for im in images if im is not None]
         values = np.concatenate(flat) if flat else np.empty(0, np.float32)
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         px = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-    gone = pa.array([im is None for im in out])
+    gone = pa.array([im is None for im in images])
     return pa.StructArray.from_arrays([*sides, px], ["h", "w", "c", "px"], mask=gone)
 
 
-def chain_function(calls: list[tuple[str, dict]], levels: bool, binary: bool, keyed: bool):
-    """The Arrow function of a chain; geometry tables are kept per task."""
-    tables: dict = {}
-
-    def with_keys(images: pa.Array, keys: pa.Array) -> pa.Array:
-        return run_chain(images, keys.to_pylist(), calls, levels, binary, tables)
-
-    def alone(images: pa.Array) -> pa.Array:
-        return run_chain(images, [""] * len(images), calls, levels, binary, tables)
+def chain_function(calls: list[tuple[str, dict]], levels: bool, form: str, keyed: bool):
+    """The Arrow function of a chain, over a stream of batches.
+
+    It works on a few rows at a time and widens that to about ``STACK_BYTES`` of
+    pixels, so a batch of small inputs cannot grow into one huge output.  Geometry
+    tables are kept for the whole task.
+    """
+
+    def portions(images: pa.Array, keys: pa.Array | None, state: dict) -> Iterator[pa.Array]:
+        start = 0
+        while start < len(images):
+            part = images.slice(start, state["rows"])
+            names = keys.slice(start, state["rows"]).to_pylist() if keys is not None else [""] * len(part)
+            read = read_structs(part, levels) if pa.types.is_struct(part.type) else read_encoded(part)
+            done = run_chain(read, names, calls, state["tables"])
+            widest = max((max(a.size, b.size) for a, b in zip(read, done) if a is not None), default=1)
+            start += len(part)
+            state["rows"] = int(min(MOST_ROWS, max(1, STACK_BYTES // (8 * widest))))
+            yield pack(done, form)
+
+    def with_keys(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        state = {"rows": FIRST_ROWS, "tables": {}}
+        for images, keys in batches:
+            yield from portions(images, keys, state)
+
+    def alone(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        state = {"rows": FIRST_ROWS, "tables": {}}
+        for images in batches:
+            yield from portions(images, None, state)
 
     return with_keys if keyed else alone

@@ -34,9 +34,9 @@ from samplelake.operators.listing import shard_manifest as manifest_of
 from samplelake.operators.numbering import number_rows, shard_size_for
 from samplelake.operators.registry import append_scan
 from samplelake.plans.config import shard_config
-from samplelake.plans.steps import Step, ToLevels, ToRgb, transform_images
+from samplelake.plans.steps import Step, ToLevels, ToRgb, kernel_column, transform_images
 from samplelake.sources import keyed, objects, tables, tarshards
-from samplelake.sources.images import decode_images, decoded, encoded
+from samplelake.sources.images import decode_images
 from samplelake.staging import stage
 from samplelake.streaming.incremental import drain, new_images
 
@@ -236,7 +236,7 @@ def _transform_stream(spark, root, steps, out, dest_prefix, wave) -> Timings:
     timings, base = Timings(), out.rstrip("/")
     with timings.phase("process"):
         images = new_images(spark, root, wave)
-        result = transform_images(images, [ToRgb(bgr=True), *steps, ToLevels()], levels=True, binary=True)
+        result = transform_images(images, [ToRgb(bgr=True), *steps, ToLevels()], levels=True, form="bytes")
         drain(
             result.withColumn("dest", dest_key(F.lit(dest_prefix), F.col("key"))),
             f"{base}/images",
@@ -256,12 +256,12 @@ def _transform_pending(spark, root, steps, out, job, dest_prefix, wave) -> Timin
         run = uuid.uuid4().hex
         with timings.phase("process"):
             placed = objects.spread_by_bytes(part, "size_bytes", ["key"])
-            images = objects.fetch_content(placed).select("key", decoded(F.col("content")).alias("image"))
-            result = transform_images(
-                images.filter(F.col("image").isNotNull()), [*steps, ToLevels()], levels=True, binary=True
-            )
+            fetched = objects.fetch_content(placed)
+            image = kernel_column([*steps, ToLevels()], F.col("content"), F.col("key"), form="bytes")
+            dest = dest_key(F.lit(dest_prefix), F.col("key"))
+            result = fetched.select("key", image.alias("image"), dest.alias("dest"))
             written = f"{base}/images/run={run}"
-            result.withColumn("dest", dest_key(F.lit(dest_prefix), F.col("key"))).write.parquet(written)
+            result.filter(F.col("image").isNotNull()).write.parquet(written)
         with timings.phase("ledger"):
             finished = led.produced_only(part, spark.read.parquet(written).select("key"), ["key"])
             append_to_ledger(finished.select("key"), ledger_path, job, run)
@@ -328,16 +328,15 @@ def transform_sharded(
 def _transformed_samples(index: DataFrame, steps: Sequence[Step]) -> DataFrame:
     """``shard, key, members`` of transformed samples, in the order of the index rows."""
     members = F.col("members")
-    image = F.coalesce(*[members[m] for m in tarshards.IMAGE_MEMBERS])
-    images = tarshards.fetch_members(index).select(
-        "shard", "key", members["cls"].alias("_cls"), decoded(image).alias("image")
-    )
-    result = transform_images(
-        images.filter(F.col("image").isNotNull()), [*steps, ToLevels()], levels=True, binary=True
+    source = F.coalesce(*[members[m] for m in tarshards.IMAGE_MEMBERS])
+    fetched = tarshards.fetch_members(index).select(
+        "shard", "key", source.alias("_content"), members["cls"].alias("_cls")
     )
-    both = F.create_map(F.lit("png"), encoded(F.col("image")), F.lit("cls"), F.col("_cls"))
+    image = kernel_column([*steps, ToLevels()], F.col("_content"), F.col("key"), form="png")
+    done = fetched.select("shard", "key", "_cls", image.alias("_png")).filter(F.col("_png").isNotNull())
+    both = F.create_map(F.lit("png"), F.col("_png"), F.lit("cls"), F.col("_cls"))
     present = F.map_filter(both, lambda _, data: data.isNotNull())
-    return result.select("shard", "key", present.alias("members"))
+    return done.select("shard", "key", present.alias("members"))
 
 
 # --- keyed datasets and training views ------------------------------------------------
@@ -381,5 +380,5 @@ def image_folder(
 def read_for_training(spark: SparkSession, out: str, steps: Sequence[Step] = ()) -> DataFrame:
     """``idx, key, label, image`` of a keyed dataset, decoded and transformed."""
     records = keyed.read_keyed(spark, out)
-    images = records.select("idx", "key", "label", decoded(F.col("image")).alias("image"))
-    return transform_images(images, steps, levels=True) if steps else images
+    image = kernel_column(steps, F.col("image"), F.col("key"), form="floats" if steps else "bytes")
+    return records.withColumn("image", image).select("idx", "key", "label", "image")

@@ -19,6 +19,7 @@ from samplelake.functions.kernels import chain_function
 
 IMAGE_TYPE = "struct<h:int,w:int,c:int,px:array<float>>"
 BYTES_TYPE = "struct<h:int,w:int,c:int,px:binary>"
+FORM_TYPES = {"floats": IMAGE_TYPE, "bytes": BYTES_TYPE, "png": "binary"}
 
 
 @dataclass(frozen=True)
@@ -233,28 +234,40 @@ def step_names(steps: Sequence[Step]) -> list[str]:
 
 
 def compile_steps(
-    steps: Sequence[Step], image: Column, key: Column, *, levels: bool = False, binary: bool = False
+    steps: Sequence[Step],
+    image: Column,
+    key: Column | None = None,
+    *,
+    levels: bool = False,
+    form: str = "floats",
 ) -> Column:
-    """The chain as one Column of the same image type (``binary`` gives bytes of levels)."""
-    if not binary:
+    """The chain as one Column.
+
+    ``image`` is an image struct, or encoded image bytes for a chain that ends in
+    another ``form`` than "floats": "bytes" gives structs of levels, "png" PNG bytes.
+    """
+    if form == "floats":
         built, state = image, levels
         for step, name in zip(steps, step_names(steps)):
             built = step.column(built, key, name, state) if built is not None else None
             state = step.levels_after(state)
         if built is not None:
             return built
-    return kernel_column(steps, image, key, levels=levels, binary=binary)
+    return kernel_column(steps, image, key, levels=levels, form=form)
 
 
 def kernel_column(
-    steps: Sequence[Step], image: Column, key: Column, *, levels: bool = False, binary: bool = False
+    steps: Sequence[Step],
+    image: Column,
+    key: Column | None = None,
+    *,
+    levels: bool = False,
+    form: str = "floats",
 ) -> Column:
     """The chain as one Arrow function; keys go along only where a step draws."""
     calls = [c for step, name in zip(steps, step_names(steps)) for c in step.calls(name)]
     keyed = any(step.random for step in steps)
-    kernel = F.arrow_udf(
-        chain_function(calls, levels, binary, keyed), BYTES_TYPE if binary else IMAGE_TYPE
-    )
+    kernel = F.arrow_udf(chain_function(calls, levels, form, keyed), FORM_TYPES[form])
     return kernel(image, key) if keyed else kernel(image)
 
 
@@ -265,9 +278,9 @@ def transform_images(
     image: str = "image",
     key: str = "key",
     levels: bool = False,
-    binary: bool = False,
+    form: str = "floats",
 ) -> DataFrame:
     """Run a chain of steps over a table of images, keeping every other column."""
     return df.withColumn(
-        image, compile_steps(steps, F.col(image), F.col(key), levels=levels, binary=binary)
+        image, compile_steps(steps, F.col(image), F.col(key), levels=levels, form=form)
     )

@@ -2,22 +2,12 @@
 
 from __future__ import annotations
 
-import io
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samplelake.functions.paths import is_image_key
-from samplelake.plans.steps import BYTES_TYPE
+from samplelake.plans.steps import kernel_column
 from samplelake.sources.objects import key_under
-from samplelake.sources.png import decode_png, encode_png
-
-try:  # a full codec, where the cluster has one
-    from PIL import Image as _pillow
-except ImportError:
-    _pillow = None
 
 
 def decode_images(spark: SparkSession, root: str) -> DataFrame:
@@ -47,49 +37,11 @@ def image_rows(files: DataFrame, root: str) -> DataFrame:
     ).filter(is_image_key(F.col("key")))
 
 
-def decode_bytes(data: bytes) -> np.ndarray | None:
-    """RGB levels of image bytes, or None where they cannot be decoded."""
-    try:
-        if _pillow is not None:
-            return np.array(_pillow.open(io.BytesIO(data)).convert("RGB"))
-        levels = decode_png(data)
-    except (ValueError, OSError):
-        return None
-    if levels.shape[-1] in (2, 4):
-        levels = levels[..., :-1]
-    return np.repeat(levels, 3, axis=-1) if levels.shape[-1] == 1 else levels
-
-
-def _bytes_struct(images: list) -> pa.StructArray:
-    sides = [pa.array([None if im is None else im.shape[i] for im in images], pa.int32()) for i in range(3)]
-    px = pa.array([None if im is None else im.tobytes() for im in images], pa.binary())
-    gone = pa.array([im is None for im in images])
-    return pa.StructArray.from_arrays([*sides, px], ["h", "w", "c", "px"], mask=gone)
-
-
 def decoded(content: Column) -> Column:
     """RGB image struct of image bytes; null where they cannot be decoded."""
-
-    def decode(data: pa.Array) -> pa.Array:
-        return _bytes_struct([None if d is None else decode_bytes(d) for d in data.to_pylist()])
-
-    return F.arrow_udf(decode, BYTES_TYPE)(content)
+    return kernel_column([], content, form="bytes")
 
 
 def encoded(image: Column) -> Column:
-    """PNG bytes of an image struct that holds bytes of levels, or floats as levels."""
-
-    def encode(images: pa.Array) -> pa.Array:
-        out = []
-        for im in images.to_pylist():
-            if im is None:
-                out.append(None)
-                continue
-            px = im["px"]
-            flat = np.frombuffer(px, np.uint8) if isinstance(px, bytes) else np.asarray(px, np.uint8)
-            out.append(encode_png(flat.reshape(im["h"], im["w"], im["c"])))
-        return pa.array(out, pa.binary())
-
-    return F.arrow_udf(encode, "binary")(image)
-
-
+    """PNG bytes of an image struct that holds levels."""
+    return kernel_column([], image, levels=True, form="png")

@@ -16,6 +16,7 @@ from samplelake.sources.objects import key_under
 
 LISTING_SETTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 LISTING_PER_CORE = 4
+FILES_PER_BATCH = 1_000_000
 
 IMAGE_SCHEMA = (
     "image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>"
@@ -30,23 +31,19 @@ FILE_SCHEMA = T.StructType(
 )
 
 
-def new_objects(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
+def new_objects(spark: SparkSession, root: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Stream of image objects below ``root`` with their bytes."""
     reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", True)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    files = reader.load(root)
+    files = reader.option("maxFilesPerTrigger", files_per_batch).load(root)
     return files.select(
         key_under(F.col("path"), root).alias("key"), F.col("length").alias("size_bytes"), "content"
     ).filter(is_image_key(F.col("key")))
 
 
-def new_images(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
+def new_images(spark: SparkSession, root: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Stream of decoded images below ``root``: ``key, image``, pixels in BGR order."""
     reader = spark.readStream.format("image").schema(IMAGE_SCHEMA).option("recursiveFileLookup", True)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    images = image_rows(reader.load(root), root)
+    images = image_rows(reader.option("maxFilesPerTrigger", files_per_batch).load(root), root)
     return images.filter(F.col("image").isNotNull()).select("key", "image")
 
 
@@ -81,7 +78,7 @@ def drain(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
 
 
 def incremental_scan(
-    spark: SparkSession, root: str, out: str, checkpoint: str, files_per_batch: int | None = None
+    spark: SparkSession, root: str, out: str, checkpoint: str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
     """Scan metadata of every object seen so far; only new objects are read."""
     return drain(validate_bytes(new_objects(spark, root, files_per_batch)), out, checkpoint)

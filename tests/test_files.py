@@ -11,7 +11,7 @@ from samplelake.plans import jobs
 from samplelake.plans import steps as st
 from samplelake.sources import images, keyed, objects, tables, tarshards
 from samplelake.sources.files import split_path
-from samplelake.sources.png import decode_png, encode_png
+from samplelake.functions.codecs import decode_png, encode_png
 from samplelake.streaming import incremental
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from samplelake.functions import kernels, pixels
 from samplelake.plans import steps as st
 from samplelake.plans.config import pipeline_from_config
-from samplelake.sources import png
+from samplelake.functions import codecs as png
 
 
 def image_table(spark, arrays):
