@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from samplelake.operators.joins import join_narrow
+from samplelake.operators.joins import fits_broadcast, join_narrow
 from samplelake.operators.numbering import number_rows
+from samplelake.staging import stage
+
+
+def _numbered(dictionary: DataFrame, order: list[str]) -> DataFrame:
+    """Add ``idx`` in ``order``: in one task where the counted rows are few, else by ranges.
+
+    The dictionary is kept as a table first, so it is aggregated only once.
+    """
+    kept = stage(dictionary, "labels")
+    if not fits_broadcast(kept):
+        return number_rows(kept, order, "idx")
+    return kept.withColumn("idx", F.row_number().over(Window.orderBy(*order)) - 1)
 
 
 def label_ids_first_seen(df: DataFrame, pos: str = "pos", label: str = "label") -> DataFrame:
@@ -18,13 +30,13 @@ def label_ids_first_seen(df: DataFrame, pos: str = "pos", label: str = "label")
     firsts = (
         df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.min(pos).alias("_first"))
     )
-    return number_rows(firsts, ["_first", label], "idx").select(label, F.col("idx").cast("int"))
+    return _numbered(firsts, ["_first", label]).select(label, F.col("idx").cast("int"))
 
 
 def label_ids_sorted(df: DataFrame, label: str = "label") -> DataFrame:
     """``label, idx`` in label order."""
     distinct = df.select(label).filter(F.col(label).isNotNull()).distinct()
-    return number_rows(distinct, [label], "idx").select(label, F.col("idx").cast("int"))
+    return _numbered(distinct, [label]).select(label, F.col("idx").cast("int"))
 
 
 def encode_labels(

@@ -28,6 +28,7 @@ INDEX_SCHEMA = (
 )
 IMAGE_MEMBERS = ("jpg", "jpeg", "png")
 INDEX_ROWS = 5000
+SHARDS_PER_TASK = 25
 
 
 def list_shard_files(spark: SparkSession, root: str) -> DataFrame:
@@ -178,7 +179,8 @@ def sample_members(content: Column, class_id: Column | None = None, ext: str = "
 
 def place_by_shard(rows: DataFrame, n_shards: int, order: str = "shard") -> DataFrame:
     """Whole shards to tasks, samples in order.  Do this while the rows are still narrow."""
-    n = max(1, min(n_shards, 20_000))
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    n = max(1, min(n_shards, max(2 * cores, -(-n_shards // SHARDS_PER_TASK))))
     return rows.repartitionByRange(n, order).sortWithinPartitions(order, "sample_idx")
 
 

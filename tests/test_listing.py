@@ -148,6 +148,14 @@ def test_label_ids(spark):
     assert column(coded, "cls_idx") == [1, 0, 1, 0]
 
 
+def test_grown_label_dictionary(spark, monkeypatch):
+    df = spark.range(500).select(F.col("id").alias("pos"), F.md5((F.col("id") % 90).cast("string")).alias("label"))
+    small = {tuple(r) for r in labels.label_ids_first_seen(df).collect()}
+    monkeypatch.setattr(labels, "fits_broadcast", lambda _: False)
+    assert {tuple(r) for r in labels.label_ids_first_seen(df).collect()} == small
+    assert len(small) == 90
+
+
 def test_lookup(spark):
     data = spark.createDataFrame([(i, f"im{i}") for i in range(5)], "idx long, image string")
     requests = spark.createDataFrame([(3,), (3,), (9,)], "idx long")
