@@ -21,6 +21,7 @@ CONTENT_TYPE_EXTENSIONS = {
     "image/tiff": ".tiff",
 }
 DEFAULT_EXTENSION = ".jpg"
+WHITESPACE = " \t\n\r\f\v"
 BOXES_SUFFIX = "_boxes.txt"
 VAL_ANNOTATIONS = "val_annotations.txt"
 
@@ -37,6 +38,11 @@ def has_extension(key: Column, extensions: Iterable[str]) -> Column:
     return reduce(lambda a, b: a | b, [low.endswith(e) for e in extensions])
 
 
+def strip(text: Column) -> Column:
+    """Without white space at either end."""
+    return F.btrim(text, F.lit(WHITESPACE))
+
+
 def is_image_key(key: Column) -> Column:
     return has_extension(key, IMAGE_EXTENSIONS)
 
@@ -127,7 +133,7 @@ def dest_key(prefix: Column, key: Column) -> Column:
 
 
 def _known_content_type(content_type: Column) -> Column:
-    bare = F.lower(F.trim(F.substring_index(content_type, ";", 1)))
+    bare = F.lower(strip(F.substring_index(content_type, ";", 1)))
     pairs = [F.lit(x) for kv in CONTENT_TYPE_EXTENSIONS.items() for x in kv]
     return F.element_at(F.create_map(*pairs), bare)
 

@@ -203,10 +203,13 @@ def run_transform(
     spark: SparkSession, root: str, steps: Sequence[Step], out: str, *, job: str, sharded: bool | None = None
 ) -> Timings:
     """Transform a prefix, flat or sharded; the layout is looked up where not given."""
+    listing = None
     if sharded is None:
-        sharded = detect_sharded(objects.list_objects(spark, root)).first()["is_sharded"]
-    run = transform_sharded if sharded else transform_flat
-    return run(spark, root, steps, out, job=job)
+        listing = objects.list_objects(spark, root)
+        sharded = detect_sharded(listing).first()["is_sharded"]
+    if sharded:
+        return transform_sharded(spark, root, steps, out, job=job, listing=listing)
+    return transform_flat(spark, root, steps, out, job=job)
 
 
 def transform_flat(
@@ -289,7 +292,14 @@ def read_transformed(spark: SparkSession, out: str) -> DataFrame:
 
 
 def transform_sharded(
-    spark: SparkSession, root: str, steps: Sequence[Step], out: str, *, job: str, wave: int = WAVE_SHARDS
+    spark: SparkSession,
+    root: str,
+    steps: Sequence[Step],
+    out: str,
+    *,
+    job: str,
+    wave: int = WAVE_SHARDS,
+    listing: DataFrame | None = None,
 ) -> Timings:
     """Transform a sharded dataset: one output tar per input tar with pending samples.
 
@@ -304,7 +314,8 @@ def transform_sharded(
         manifest = tables.read_manifest(spark, root)
         pending = led.pending_work(manifest, read_ledger(spark, ledger_path, job), ["shard", "sample_idx"])
         needed = number_rows(led.needed_shards(pending), ["shard"])
-        files = tarshards.list_shard_files(spark, root)
+        found = objects.list_objects(spark, root) if listing is None else listing
+        files = tarshards.shard_files(found)
     rows = manifest.select("shard", "sample_idx", "__key__")
     for part in waves(needed, wave):
         with timings.phase("index"):

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from samplelake.functions.paths import strip
+
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("shard", T.StringType()),
@@ -20,7 +22,7 @@ MANIFEST_SCHEMA = T.StructType(
 
 def clean_urls(lines: DataFrame, max_urls: int | None = None) -> DataFrame:
     """URLs of ``line_no, line``: trimmed, without blanks and comments, in line order."""
-    url = F.trim("line")
+    url = strip(F.col("line"))
     kept = lines.select("line_no", url.alias("url")).filter(
         (F.col("url") != "") & ~F.col("url").startswith("#")
     )

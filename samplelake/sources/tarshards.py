@@ -1,5 +1,9 @@
 """Tar shards: samples are runs of members that share a name up to its first dot.
 
+Neighbouring samples of one name, as from two class folders, are told apart by a
+member that comes again.  A dot in a sample key is written as ``_``; the manifest
+keeps the key itself, and samples are joined with it by their place.
+
 Shards are read in two steps.  An index lists each sample's members with their place
 in the tar; headers are read by seeking, contents are skipped.  Joins and filters run
 on that index, and only then are the wanted bytes read, in even portions, so a very
@@ -18,6 +22,7 @@ from pyspark.sql import functions as F
 
 from samplelake.functions.paths import file_name
 from samplelake.functions.values import class_to_bytes
+from samplelake.operators.listing import filter_objects
 from samplelake.sources.files import Files
 from samplelake.sources.objects import FETCH_BYTES, TASK_BYTES, list_objects, tasks_for
 from samplelake.staging import stage
@@ -33,7 +38,12 @@ SHARDS_PER_TASK = 25
 
 def list_shard_files(spark: SparkSession, root: str) -> DataFrame:
     """``path, key, size_bytes, shard`` of the tars below ``root``."""
-    return list_objects(spark, root, [".tar"]).withColumn("shard", file_name(F.col("key")))
+    return shard_files(list_objects(spark, root))
+
+
+def shard_files(listing: DataFrame) -> DataFrame:
+    """The tars of a listing, with their file names as ``shard``."""
+    return filter_objects(listing, [".tar"]).withColumn("shard", file_name(F.col("key")))
 
 
 def _split_member(name: str) -> tuple[str, str]:
@@ -52,12 +62,10 @@ def _samples(handle) -> Iterator[tuple[str, list[dict]]]:
             name, ext = _split_member(member.name)
             if not member.isfile() or not ext:
                 continue
-            if name != key and places:
+            if places and (name != key or any(p["ext"] == ext for p in places)):
                 yield key, places
                 places = []
             key = name
-            if any(p["ext"] == ext for p in places):
-                raise ValueError(f"{member.name}: a sample has two members {ext}")
             places.append({"ext": ext, "offset": member.offset_data, "size": member.size})
     if places:
         yield key, places
@@ -215,9 +223,7 @@ def write_placed_shards(rows: DataFrame, root: str) -> DataFrame:
                     current, count = shard, 0
                     out, part = files.start(f"{base}/{shard}")
                     tar = tarfile.open(fileobj=out, mode="w|", format=tarfile.PAX_FORMAT)
-                key = keys[row].as_py()
-                if "." in key.rsplit("/", 1)[-1]:
-                    raise ValueError(f"{key}: a dot in a sample key would split it on reading")
+                key = keys[row].as_py().replace(".", "_")
                 for ext, data in members[row].as_py():
                     info = tarfile.TarInfo(f"{key}.{ext}")
                     info.size = len(data)

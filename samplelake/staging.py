@@ -3,7 +3,7 @@
 The folder comes from ``spark.checkpoint.dir``.  A staged table outlives any lost
 executor, is read back with column pruning, and has a real size on disk, so
 Catalyst can decide joins against it from facts.  One folder per application;
-drop it when the application has ended.
+:func:`drop_staged` removes it at the end.
 """
 
 from __future__ import annotations
@@ -11,8 +11,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession
 
+from samplelake.sources.files import Files
+
 SETTING = "spark.checkpoint.dir"
 
 
@@ -33,6 +36,13 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/samplelake-{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged; DataFrames that read it end with it."""
+    system, folder = Files().at(staging_path(spark, "x").rsplit("/", 1)[0])
+    if system.get_file_info(folder).type != FileType.NotFound:
+        system.delete_dir(folder)
+
+
 def stage(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads the written table."""
     spark = df.sparkSession

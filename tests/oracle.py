@@ -26,7 +26,7 @@ def kind(type_name: str) -> str:
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 9) + 0.0
+        return "nan" if math.isnan(value) else value
     return value
 
 

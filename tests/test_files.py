@@ -10,7 +10,9 @@ from samplelake.operators import registry, scanning
 from samplelake.plans import jobs
 from samplelake.plans import steps as st
 from samplelake.sources import images, keyed, objects, tables, tarshards
-from samplelake.sources.files import split_path
+from samplelake.sources.files import Files, split_path
+from samplelake import staging
+from samplelake import staging
 from samplelake.functions.codecs import decode_png, encode_png
 from samplelake.streaming import incremental
 
@@ -134,6 +136,16 @@ def test_scan(spark, tmp_path):
     assert [(r["source_prefix"], r["metadata_key"], r["total"]) for r in recorded] == [("p/", "metadata/p.jsonl", 10)]
 
 
+def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_dir", lambda _: str(tmp_path))
+    assert staging.stage(spark.range(3)).count() == 3
+    folder = staging.staging_path(spark, "x").rsplit("/", 1)[0]
+    assert Files().entries(folder)
+    staging.drop_staged(spark)
+    staging.drop_staged(spark)
+    assert Files().entries(str(tmp_path)) == []
+
+
 def test_empty_scan_summary(spark):
     empty = spark.createDataFrame([], "key string, size_bytes long, corrupted boolean, unexpected_format boolean")
     row = scanning.scan_summary(empty).first()
@@ -163,7 +175,7 @@ def test_registry(spark, tmp_path):
 
 def test_url_lists(spark, tmp_path):
     lines = tmp_path / "urls.txt"
-    lines.write_text("# c\n http://a/1.jpg \n\nhttp://a/2.jpg\nhttp://a/3.jpg\n")
+    lines.write_text("# c\r\n http://a/1.jpg\t\r\n\n\t\nhttp://a/2.jpg\nhttp://a/3.jpg\n")
     assert [r["url"] for r in tables.read_url_list(spark, str(lines), 2).collect()] == ["http://a/1.jpg", "http://a/2.jpg"]
     table = tmp_path / "urls.csv"
     table.write_text("id,url\n1,http://a/1.jpg\n2,#no\n3,\n4,http://a/4.jpg\n")
@@ -241,10 +253,20 @@ def test_shard_config(spark, tmp_path):
         jobs.shard_from_config(spark, {"input_root": root})
 
 
-def test_dotted_key_is_refused(spark, tmp_path):
-    rows = sample_rows(spark, 1).withColumn("key", F.lit("a.b"))
-    with pytest.raises(Exception, match="a dot in a sample key"):
-        tarshards.write_shards(rows, str(tmp_path / "t"))
+def test_dots_and_repeated_names_keep_their_place(spark, tmp_path):
+    files = {f"c{i}/{n}.png": encode_png(picture(4, 4, i)) for i in range(3) for n in ("same", "a.b.c")}
+    root, source, out = put(tmp_path / "in", files), str(tmp_path / "tars"), str(tmp_path / "out")
+    listing = objects.list_objects(spark, root)
+    # All samples of one name in a row, as under an order by name.
+    manifest = jobs.shard_dataset(listing.filter(F.col("key").endswith("same.png")), "", source, shard_size=10)
+    read = tarshards.read_shards(spark, source).join(manifest, ["shard", "sample_idx"]).collect()
+    assert {r["source"]: bytes(r["members"]["jpg"]) for r in read} == {n: d for n, d in files.items() if "same" in n}
+    manifest = jobs.shard_dataset(listing, "", f"{source}2", shard_size=10)
+    read = tarshards.read_shards(spark, f"{source}2").join(manifest, ["shard", "sample_idx"]).collect()
+    assert {r["source"]: bytes(r["members"]["jpg"]) for r in read} == files
+    assert {(r["key"], r["__key__"]) for r in read} == {("a_b_c", "a.b.c"), ("same", "same")}
+    jobs.transform_sharded(spark, f"{source}2", [], out, job="j")
+    assert sorted(r["key"] for r in jobs.read_ledger(spark, f"{out}/ledger").collect()) == ["a.b.c"] * 3 + ["same"] * 3
 
 
 def test_foreign_tars(spark, tmp_path):

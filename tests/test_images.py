@@ -240,6 +240,30 @@ def test_area_crop_covers_the_stated_share():
     assert out.shape == (5, 16, 16, 3) and out.dtype == np.uint8
 
 
+def test_area_crop_of_everything_is_a_resize():
+    im = levels((20, 20, 3))[None]
+    out = kernels.random_area_crop(
+        im, ["k"], {}, size=7, area=(1.0, 1.0), aspect=(1.0, 1.0), seed=1, step="s"
+    )
+    assert np.array_equal(out, kernels.resample(im, 7, 7, "bilinear", {}))
+
+
+def test_area_crop_windows_by_hand():
+    keys = [f"k{i}" for i in range(40)]
+    gradient = np.add.outer(np.arange(40), np.arange(60))[..., None].astype(np.uint8)
+    out = kernels.random_area_crop(
+        np.repeat(gradient[None], 40, axis=0), keys, {}, size=8, area=(0.8, 1.0), aspect=(0.75, 4 / 3), seed=1, step="s"
+    )
+    for key, got in zip(keys, out):
+        u = kernels.uniforms(kernels.draw_bases(1, "s", [key]), 0, 4)[0]
+        share, ratio = 0.8 + 0.2 * u[0], math.exp(math.log(0.75) + u[1] * (math.log(4 / 3) - math.log(0.75)))
+        h = min(40, round(math.sqrt(share * 2400 / ratio)))
+        w = min(60, round(math.sqrt(share * 2400 * ratio)))
+        top, left = int(u[2] * (41 - h)), int(u[3] * (61 - w))
+        window = gradient[None, top : top + h, left : left + w]
+        assert np.array_equal(got, kernels.resample(window, 8, 8, "bilinear", {})[0])
+
+
 def test_uniform_draws_match(spark):
     from samplelake.functions.values import draw_base, uniform
 
