@@ -78,27 +78,35 @@ def _triangle(x: np.ndarray) -> np.ndarray:
 FILTERS = {"lanczos": (_lanczos, 3.0), "bilinear": (_triangle, 1.0)}
 
 
-def weight_table(size: int, new_size: int, name: str = "lanczos") -> np.ndarray:
-    """Fixed-point weights ``(new_size, size)`` of one axis, widened when shrinking."""
+def weight_table(size: int, new_size: int, name: str = "lanczos") -> list[tuple[int, np.ndarray]]:
+    """First source place and fixed-point weights of every place of a resized axis.
+
+    Weights are whole numbers; the curve is widened when shrinking.
+    """
     curve, support = FILTERS[name]
     scale = size / new_size
     spread = max(scale, 1.0)
-    centre = (np.arange(new_size) + 0.5) * scale
-    low = np.maximum((centre - support * spread + 0.5).astype(np.int64), 0)
-    high = np.minimum((centre + support * spread + 0.5).astype(np.int64), size)
-    at = np.arange(size)
-    inside = (at >= low[:, None]) & (at < high[:, None])
-    weights = np.where(inside, curve((at + 0.5 - centre[:, None]) / spread), 0.0)
-    weights /= weights.sum(axis=1, keepdims=True)
-    return np.trunc(weights * (1 << PRECISION) + np.copysign(0.5, weights))
-
-
-def _weigh(table: np.ndarray, stack: np.ndarray, axis: int) -> np.ndarray:
-    """One pass over one axis; sums of whole numbers stay exact in doubles."""
-    moved = np.moveaxis(stack.astype(np.float64), axis, 0)
-    summed = np.tensordot(table, moved, axes=(1, 0))
-    levels = np.floor((summed + (1 << (PRECISION - 1))) / (1 << PRECISION))
-    return np.moveaxis(np.clip(levels, 0, 255).astype(np.uint8), 0, axis)
+    table = []
+    for centre in (np.arange(new_size) + 0.5) * scale:
+        low = max(int(centre - support * spread + 0.5), 0)
+        high = min(int(centre + support * spread + 0.5), size)
+        weights = curve((np.arange(low, high) + 0.5 - centre) / spread)
+        weights = weights / weights.sum()
+        table.append((low, np.trunc(weights * (1 << PRECISION) + np.copysign(0.5, weights))))
+    return table
+
+
+def _weigh(table: list[tuple[int, np.ndarray]], stack: np.ndarray, axis: int) -> np.ndarray:
+    """One pass over one axis.  Sums of whole numbers stay exact in doubles."""
+    moved = np.moveaxis(stack, axis, 0)
+    lines = np.ascontiguousarray(moved, dtype=np.float64).reshape(len(moved), -1)
+    sums = np.empty((len(table), lines.shape[1]), np.int32)
+    for place, (low, weights) in enumerate(table):
+        sums[place] = weights @ lines[low : low + len(weights)]
+    sums += 1 << (PRECISION - 1)
+    sums >>= PRECISION
+    levels = np.clip(sums, 0, 255, out=sums).astype(np.uint8)
+    return np.moveaxis(levels.reshape(len(table), *moved.shape[1:]), 0, axis)
 
 
 def resample(stack: np.ndarray, new_h: int, new_w: int, name: str, tables: dict) -> np.ndarray:
@@ -156,7 +164,12 @@ def _rotation(h: int, w: int, degrees: float):
 
 
 def _corners(work: np.ndarray, ys, xs):
-    return (work[:, ys[i], xs[j]] for i in (0, 1) for j in (0, 1))
+    """The four neighbours of every place, the same places for every image."""
+    n, h, w, c = work.shape
+    flat = work.reshape(n, h * w, c)
+    for y in ys:
+        for x in xs:
+            yield np.take(flat, (y * w + x).ravel(), axis=1).reshape(n, *y.shape, c)
 
 
 def _slide(work: np.ndarray, ys, xs, fy, fx) -> np.ndarray:
@@ -169,9 +182,13 @@ def _slide(work: np.ndarray, ys, xs, fy, fx) -> np.ndarray:
 
 def _weighted(work: np.ndarray, ys, xs, fy, fx) -> np.ndarray:
     """Sum of the four neighbours by their weights."""
-    fy, fx = fy[..., None], fx[..., None]
-    a, b, c, d = _corners(work, ys, xs)
-    return a * (1 - fy) * (1 - fx) + b * (1 - fy) * fx + c * fy * (1 - fx) + d * fy * fx
+    out = 0.0
+    shares = [(v, u) for v in (1 - fy, fy) for u in (1 - fx, fx)]
+    for corner, (v, u) in zip(_corners(work, ys, xs), shares):
+        corner *= v[..., None]
+        corner *= u[..., None]
+        out = out + corner
+    return out
 
 
 def rotate(stack, _keys, tables, degrees):
