@@ -11,9 +11,14 @@ BROADCAST_ROWS = 100_000
 HOT_ROWS = 1_000_000
 
 
+def at_most(df: DataFrame, rows: int) -> bool:
+    """True where ``df`` has no more than ``rows`` rows; counts one more at most."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def fits_broadcast(narrow: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``rows + 1`` rows; true where a side of short columns may be copied."""
-    return narrow.limit(rows + 1).count() <= rows
+    """True where a side of short columns has few enough rows to be copied."""
+    return at_most(narrow, rows)
 
 
 def _check(how: str) -> None:
@@ -45,6 +50,8 @@ def join_split(
     keys that is broadcast has at most one row per ``hot_rows`` left rows.
     """
     _check(how)
+    if at_most(left.select(*on), hot_rows):  # too few rows for any key to be hot
+        return left.join(right, on, how)
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
     copies = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int")
     hot = F.broadcast(stage(counts.select(*on, copies.alias("_copies")), "hot"))
