@@ -279,6 +279,20 @@ def keyed_with_transform(spark, sf):
     return both.select("idx", "label").join(totals, "idx")
 
 
+@query("training_batches", W(v.RGB, v.RGB_U8) + """, numbered AS (
+  SELECT label, printf('%010d', row_number() OVER (ORDER BY label, key) - 1) AS key,
+         row_number() OVER (ORDER BY label, key) - 1 AS idx, list_transform(px, lambda x: 255 - x) AS px FROM rgb_u8),
+  placed AS (SELECT *, row_number() OVER (ORDER BY md5('4:2:' || key), key) - 1 AS pos FROM numbered)
+  SELECT 2 AS epoch, pos // 48 AS batch_id, (pos % 48)::INTEGER AS batch_pos, idx, label,
+    round(list_sum(list_transform(px, lambda x: x::DOUBLE)), 4) AS total FROM placed""")
+def training_batches(spark, sf):
+    out = staging_path(spark, "keyed-pngs")
+    jobs.convert_keyed(objects.list_objects(spark, png_files(spark, sf)), "pics/", out)
+    seen = jobs.training_batches(spark, out, 48, [st.Custom(lambda im: 255 - im)], epoch=2, seed=4)
+    total = F.aggregate(F.transform("image.px", lambda x: x.cast("double")), F.lit(0.0), lambda a, x: a + x)
+    return seen.select("epoch", "batch_id", "batch_pos", "idx", "label", F.round(total, 4).alias("total"))
+
+
 # --- metrics and streams ---------------------------------------------------------------
 
 

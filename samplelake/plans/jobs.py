@@ -21,6 +21,9 @@ from pyspark.sql.utils import AnalysisException
 from samplelake.functions.paths import dest_key, flat_prefix, metadata_key, split_base
 from samplelake.operators import ledger as led
 from samplelake.operators import scanning
+from samplelake.operators.batches import epoch_batches
+from samplelake.operators.batches import max_steps as first_batches
+from samplelake.operators.joins import join_split
 from samplelake.operators.labels import encode_labels, label_ids_sorted
 from samplelake.operators.listing import (
     detect_sharded,
@@ -393,3 +396,29 @@ def read_for_training(spark: SparkSession, out: str, steps: Sequence[Step] = ())
     records = keyed.read_keyed(spark, out)
     image = kernel_column(steps, F.col("image"), F.col("key"), form="floats" if steps else "bytes")
     return records.withColumn("image", image).select("idx", "key", "label", "image")
+
+
+def training_batches(
+    spark: SparkSession,
+    out: str,
+    batch_size: int,
+    steps: Sequence[Step] = (),
+    *,
+    epoch: int = 0,
+    seed: int = 0,
+    pad_last: bool = False,
+    max_steps: int | None = None,
+) -> DataFrame:
+    """Shuffled batches of a keyed dataset: ``epoch, batch_id, batch_pos, idx, key, label, image``.
+
+    Batches are worked out on indices.  Encoded images then move to their batch, and
+    are decoded and transformed there; each batch lies in order in one partition.
+    """
+    data = keyed.read_keyed(spark, out)
+    plan = epoch_batches(data.select("idx", "key"), batch_size, epoch=epoch, seed=seed, pad_last=pad_last)
+    if max_steps is not None:
+        plan = first_batches(plan, max_steps)
+    rows = join_split(plan.drop("key"), data, ["idx"], "inner")
+    placed = rows.repartition("batch_id").sortWithinPartitions("batch_id", "batch_pos")
+    image = kernel_column(steps, F.col("image"), F.col("key"), form="floats" if steps else "bytes")
+    return placed.withColumn("image", image)

@@ -23,6 +23,7 @@ FETCH_BYTES = 16 << 20
 LISTING_ROWS = 10_000
 LISTING_TASKS = 256
 TASK_BYTES = 256 << 20
+MOST_TASKS = 100_000
 
 
 def key_under(path: Column, root: str) -> Column:
@@ -111,8 +112,8 @@ def read_object(spark: SparkSession, root: str, key: str) -> DataFrame:
 
 
 def tasks_for(size_bytes: int, task_bytes: int = TASK_BYTES) -> int:
-    """Tasks needed so that each reads about ``task_bytes``."""
-    return max(1, -(-size_bytes // task_bytes))
+    """Tasks needed so that each reads about ``task_bytes``, up to what a driver can track."""
+    return min(MOST_TASKS, max(1, -(-size_bytes // task_bytes)))
 
 
 def spread_by_bytes(rows: DataFrame, size: str, order: list[str]) -> DataFrame:

@@ -411,6 +411,24 @@ def test_convert(spark, tmp_path):
     assert {(r["image"]["h"], r["image"]["w"]) for r in seen.collect()} == {(2, 2)}
 
 
+def test_training_batches(spark, tmp_path):
+    files = {f"r/c{i % 2}/{i}.png": encode_png(picture(6, 6, i)) for i in range(10)}
+    root, out = put(tmp_path / "in", files), str(tmp_path / "out")
+    jobs.convert_keyed(objects.list_objects(spark, root), "r", out)
+    chain = [st.TrainView(size=4, resize=5, seed=1)]
+    rows = jobs.training_batches(spark, out, 4, chain, epoch=1, seed=2, pad_last=True).collect()
+    places = sorted((r["batch_id"], r["batch_pos"]) for r in rows)
+    assert places == [(b, p) for b in range(3) for p in range(4)]
+    assert {r["idx"] for r in rows} == set(range(10))
+    assert all((r["image"]["h"], r["image"]["w"]) == (4, 4) for r in rows)
+    placed = {}
+    for r in rows:
+        placed.setdefault(r["batch_id"], []).append(r["batch_pos"])
+    assert all(p == sorted(p) for p in placed.values())
+    short = jobs.training_batches(spark, out, 4, epoch=1, seed=2, max_steps=2)
+    assert short.count() == 8
+
+
 def test_missing_files_leave_no_gap(spark, tmp_path):
     files = {f"r/c/{i}.png": encode_png(picture(4, 4, i)) for i in range(4)}
     root, out = put(tmp_path / "in", files), str(tmp_path / "out")
