@@ -85,10 +85,10 @@ def scan_dataset(spark, sf):
         spark, blob_files(spark, sf), out, bucket="lake", prefix="landing/", decode=False
     )
     lines = spark.read.json(f"{out}/metadata/landing.jsonl")
-    exif = lines.agg(F.count_if("exif_present").alias("exif"))
-    recorded = last_scans(read_registry(spark, f"{out}/metadata/registry")).select("metadata_key")
-    return (
-        summary.drop("avg_size_mb").join(F.broadcast(exif)).join(F.broadcast(recorded))  # one row each
+    exif = lines.agg(F.count_if("exif_present").alias("exif")).first()["exif"]
+    recorded = last_scans(read_registry(spark, f"{out}/metadata/registry"), 1).first()["metadata_key"]
+    return summary.drop("avg_size_mb").withColumns(
+        {"exif": F.lit(exif).cast("long"), "metadata_key": F.lit(recorded)}
     )
 
 

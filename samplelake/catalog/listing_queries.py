@@ -200,7 +200,8 @@ def encode_labels(spark, sf):
   count(*) OVER () AS num_classes FROM (SELECT DISTINCT label FROM samples)""")
 def class_map(spark, sf):
     s = v.samples(spark, sf)
-    return labels.label_ids_sorted(s).join(F.broadcast(labels.class_count(s)))  # one row
+    n = labels.class_count(s).first()["num_classes"]
+    return labels.label_ids_sorted(s).withColumn("num_classes", F.lit(n).cast("long"))
 
 
 @query("attach_class", W(*SM, v.LEDGER) + "SELECT shard, sample_idx, __key__, cls FROM ledger")
@@ -328,11 +329,10 @@ def ledger_append(spark, sf):
       AND coalesce(bool_or(key LIKE '%.tar'), false) AS is_sharded FROM objects) o,
   (SELECT count(*) > 0 AS is_sharded FROM manifest) s""")
 def detect_sharded(spark, sf):
-    plain = listing.detect_sharded(v.objects(spark, sf)).withColumnRenamed("is_sharded", "plain")
+    plain = listing.detect_sharded(v.objects(spark, sf)).first()["is_sharded"]
     m = v.manifest(spark, sf)
     keys = m.select(F.explode(F.array("shard", F.lit("out/metadata/part.0.parquet"))).alias("key"))
-    sharded = listing.detect_sharded(keys).withColumnRenamed("is_sharded", "sharded")
-    return plain.join(F.broadcast(sharded))  # one row each
+    return listing.detect_sharded(keys).select(F.lit(plain).alias("plain"), F.col("is_sharded").alias("sharded"))
 
 
 # --- registry and URL lists -----------------------------------------------------

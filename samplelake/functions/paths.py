@@ -159,8 +159,3 @@ def download_name(index: Column, extension: Column) -> Column:
 
 def shard_name(prefix: str, shard_idx: Column) -> Column:
     return F.format_string("%s_%05d.tar", F.lit(prefix), shard_idx)
-
-
-def normalize_origin(path: Column) -> Column:
-    """One spelling for a local path: ``file:///x`` and ``file:/x`` become ``file:/x``."""
-    return F.regexp_replace(path, "^file:/+", "file:/")

@@ -44,13 +44,23 @@ def class_order(archive: DataFrame) -> DataFrame:
     )
 
 
+def _in_first_classes(files: DataFrame, archive: DataFrame, n: int) -> DataFrame:
+    """Files that are outside the train split, or in one of its first ``n`` classes.
+
+    The table of allowed classes has at most ``n`` rows.
+    """
+    allowed = class_order(archive).limit(n).withColumn("_allowed", F.lit(True))
+    tagged = files.withColumn("class_id", train_class(F.col("name")))
+    return (
+        tagged.join(allowed, "class_id", "left")
+        .filter(F.col("class_id").isNull() | F.col("_allowed"))
+        .select(*files.columns)
+    )
+
+
 def limit_classes(archive: DataFrame, n: int) -> DataFrame:
     """Drop train files outside the first ``n`` classes; other files stay."""
-    allowed = class_order(archive).limit(n)
-    tagged = archive.withColumn("class_id", train_class(F.col("name")))
-    kept = tagged.join(allowed, "class_id", "left_semi")
-    rest = tagged.filter(F.col("class_id").isNull())
-    return kept.select(*archive.columns).unionByName(rest.select(*archive.columns))
+    return _in_first_classes(archive, archive, n)
 
 
 def limit_per_class(archive: DataFrame, m: int) -> DataFrame:
@@ -69,10 +79,7 @@ def select_subset(archive: DataFrame, classes: int | None = None, per_class: int
     chosen = files.filter(~is_metadata(F.col("name")))
     if classes is not None:
         # The class order is taken over every name, metadata included.
-        allowed = class_order(archive).limit(classes)
-        tagged = chosen.withColumn("class_id", train_class(F.col("name")))
-        train = tagged.join(allowed, "class_id", "left_semi").select(*files.columns)
-        chosen = train.unionByName(tagged.filter(F.col("class_id").isNull()).select(*files.columns))
+        chosen = _in_first_classes(chosen, archive, classes)
     if per_class is not None:
         chosen = limit_per_class(chosen, per_class)
     return always.unionByName(chosen)

@@ -70,15 +70,15 @@ def write_keyed(
         F.count(F.lit(1)).alias("count"),
         content_hash(F.col("key"), F.col("size_bytes")).alias("content_hash"),
     )
-    classes = spark.read.parquet(f"{base}/labels").agg(F.count(F.lit(1)).alias("num_classes"))
-    manifest = counts.join(F.broadcast(classes)).select(  # one row each
+    classes = read_labels(spark, base).count()
+    manifest = counts.select(
         "count",
         F.lit(VERSION).alias("version"),
         F.lit(base).alias("path"),
         F.lit(key_width).alias("key_width"),
         F.lit(source).alias("source"),
         source_hash(F.lit(source)).alias("version_hash"),
-        "num_classes",
+        F.lit(classes).cast("long").alias("num_classes"),
         "content_hash",
     )
     manifest.write.mode("overwrite").json(f"{base}/manifest")
