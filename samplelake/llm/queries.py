@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from samplelake.llm import decontaminate, language, pieces, secrets, simhash
+from samplelake.llm import (
+    decontaminate,
+    language,
+    licenses,
+    pieces,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    toxicity,
+    urls,
+)
 from samplelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +27,18 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), urls.rules_table(spark))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licensed(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -28,11 +51,36 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_decontamination, op5_simhash, op6_sentencepiece, op7_language, op10_secrets)
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_url_filter,
+        op3_license_scan,
+        op4_toxicity,
+        op5_simhash,
+        op6_sentencepiece,
+        op7_language,
+        op8_sharding,
+        op9_quality,
+        op10_secrets,
+    )
+}
+SQL: dict[str, str] = {
+    "op1_decontamination": decontaminate.SQL,
+    "op2_url_filter": urls.sql(),
+    "op3_license_scan": licenses.sql(),
+    "op9_quality": quality.sql(),
 }
-SQL: dict[str, str] = {"op1_decontamination": decontaminate.SQL}
