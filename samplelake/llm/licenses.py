@@ -61,7 +61,7 @@ SPELLINGS = (
     ("whilst", "while"),
     ("wilful", "willful"),
 )
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\n]*(copyright\b|all rights reserved)[^\n]*$"
+COPYRIGHT_LINE = r"(?m)^[^\p{L}\n]*?(\(c\)[^\p{L}\n]*)?(copyright\b|all rights reserved)[^\n]*$"
 # Every known canonical form has one of these, and no canonical step makes or breaks one.
 ANCHOR = "(?i)licen[cs]e|permission"
 
@@ -126,7 +126,7 @@ def _sql_text(x: str) -> str:
 
 def sql(known: tuple[tuple[str, str, str], ...] = KNOWN) -> str:
     def form(column: str) -> str:
-        out = rf"regexp_replace(lower({column}), '(?m)^[^\p{{L}}\n]*(copyright\b|all rights reserved)[^\n]*$', '', 'g')"
+        out = f"regexp_replace(lower({column}), '{COPYRIGHT_LINE}', '', 'g')"
         out = rf"' ' || regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g') || ' '"
         for spelled, usual in SPELLINGS:
             out = f"replace({out}, ' {spelled} ', ' {usual} ')"

@@ -30,6 +30,8 @@ TOKEN = "[A-Za-z0-9+/_=-]{16,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 # Log likelihood ratio (natural) a token needs, in sum and on average per character.
 LEAST_RATIO, LEAST_MEAN_RATIO = 14.0, 0.5
+# Weight of the single characters' shares in the pairs' shares, in counts.
+LEAN = 1000.0
 KINDS = ("assign", "access", "hex", "markov")
 PLACEHOLDER = "<secret>"
 
@@ -137,8 +139,8 @@ def train(docs: DataFrame, text: str = "text") -> list[float]:
     """Log ratios of all character pairs, place ``before * (alphabet + 1) + after``, over all rows.
 
     Pairs are counted in Spark and summed per task before the shuffle; no more rows than
-    twice the alphabet squared come to the driver.  Both models add one to each count, so
-    without any sample all ratios are zero.
+    twice the alphabet squared come to the driver.  A pair's share leans on the share of
+    its second character, which leans on an even one, so without samples all ratios are zero.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     tokens = F.when(body.rlike(TOKEN), matches(body, TOKEN)).otherwise(F.array().cast("array<string>"))
@@ -159,12 +161,16 @@ def train(docs: DataFrame, text: str = "text") -> list[float]:
     )
     counts = letters.select("random", F.explode(pairs).alias("pair")).groupBy("random", "pair").count().collect()
     seen = {(r["random"], r["pair"]): r["count"] for r in counts}
-    totals = {(k, a): sum(seen.get((k, a * width + b), 0) for b in range(1, width)) for k in (0, 1) for a in range(width)}
 
-    def log_share(kind: int, pair: int) -> float:
-        return math.log((seen.get((kind, pair), 0) + 1) / (totals[kind, pair // width] + width - 1))
+    def log_shares(kind: int) -> list[float]:
+        table = [[seen.get((kind, a * width + b), 0) for b in range(width)] for a in range(width)]
+        single = [sum(row[b] for row in table) + 1 for b in range(1, width)]
+        share = [0.0, *[n / sum(single) for n in single]]
+        return [
+            math.log((row[b] + LEAN * share[b]) / (sum(row) + LEAN)) if b else 0.0 for row in table for b in range(width)
+        ]
 
-    return [log_share(1, p) - log_share(0, p) if p % width else 0.0 for p in range(width * width)]
+    return [a - b for a, b in zip(log_shares(1), log_shares(0))]
 
 
 def ratio(token: Column, model: list[float]) -> Column:
@@ -215,10 +221,13 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     """Result of the query, one row per document; nothing found is empty text."""
     docs = take(docs, doc_id="doc_id", text="text")
     found = scan(docs, train(docs)).select("doc_id", "base", "added")
-    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
     return found.select(
         "doc_id",
-        *count,
+        *map(count, range(3)),
         F.size("added").cast("long").alias("n_markov"),
         F.sha2(_told(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         _told(F.sort_array(F.concat("base", "added"))).alias("spans"),

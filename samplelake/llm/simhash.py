@@ -111,9 +111,12 @@ def _components(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
 
 
 def _bucket_links(values: np.ndarray, mask: int, radius: int, most: int) -> Iterator[np.ndarray]:
-    """Stars of one bucket; one over ``most`` is cut by finer masks where bits are left."""
+    """Stars of one bucket; one over ``most`` is cut by finer masks while enough bits are left.
+
+    With few bits left a mask may add none; so few bits hold few fingerprints.
+    """
     finer = second_masks(mask, radius) if len(values) > most else []
-    if len(values) <= most or finer == [mask]:
+    if len(values) <= most or mask in finer:
         links = _components(values, radius)
         if links:
             yield values[np.array(links)]
