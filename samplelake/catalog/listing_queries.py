@@ -391,8 +391,8 @@ VALID = f"""facts AS (
   FROM blobs WHERE regexp_matches(lower(key), {IMAGE_RE})),
 judged AS (
   SELECT *, CASE WHEN fmt IS NULL THEN 'unrecognised image data'
-    WHEN fmt = 'JPEG' AND NOT contains(right(hx, 128), 'FFD9') THEN 'image data is truncated'
-    WHEN fmt = 'PNG' AND NOT contains(right(hx, 128), '49454E44AE426082') THEN 'image data is truncated' END AS error
+    WHEN fmt = 'JPEG' AND NOT contains(hx, 'FFD9') THEN 'image data is truncated'
+    WHEN fmt = 'PNG' AND NOT contains(hx, '49454E44AE426082') THEN 'image data is truncated' END AS error
   FROM facts),
 metadata AS (
   SELECT key, size_bytes,

@@ -37,6 +37,11 @@ def encode_png(levels: np.ndarray) -> bytes:
     )
 
 
+def full_codec() -> bool:
+    """True where formats beyond plain PNG can be decoded here."""
+    return _pillow is not None
+
+
 def _unfilter(kind: int, row: np.ndarray, above: np.ndarray, step: int) -> np.ndarray:
     if kind == 0:
         return row
@@ -44,21 +49,11 @@ def _unfilter(kind: int, row: np.ndarray, above: np.ndarray, step: int) -> np.nd
         return np.cumsum(row.reshape(-1, step), axis=0, dtype=np.uint8).reshape(-1)
     if kind == 2:
         return row + above
-    out = np.zeros(len(row) + step, np.int32)
-    up = np.concatenate([np.zeros(step, np.int32), above.astype(np.int32)])
-    for i in range(step, len(out)):
-        left, over, corner = int(out[i - step]), int(up[i]), int(up[i - step])
-        if kind == 3:
-            guess = (left + over) // 2
-        else:
-            near = left + over - corner
-            guess = min((left, over, corner), key=lambda v: abs(near - v))
-        out[i] = (int(row[i - step]) + guess) & 255
-    return out[step:].astype(np.uint8)
+    raise ValueError("a row filter that needs a full codec")
 
 
 def decode_png(data: bytes) -> np.ndarray:
-    """HWC levels of an 8-bit PNG without interlacing; ValueError for anything else."""
+    """HWC levels of a plain 8-bit PNG, as :func:`encode_png` writes it; ValueError for anything else."""
     if not data.startswith(SIGNATURE):
         raise ValueError("not a PNG")
     at, packed, head = len(SIGNATURE), [], None

@@ -23,7 +23,6 @@ PNG_END = "49454E44AE426082"
 EXIF_MARKER = "457869660000"
 PNG_EXIF_CHUNK = "65584966"
 HEAD_BYTES = 32
-TAIL_BYTES = 64
 UNKNOWN_DATA = "unrecognised image data"
 TRUNCATED_DATA = "image data is truncated"
 
@@ -59,10 +58,10 @@ def header_height(content: Column, fmt: Column) -> Column:
     return _header_side(content, fmt, 21, 9, 23)
 
 
-def is_truncated(tail: Column, fmt: Column) -> Column:
-    """A JPEG without its end marker, or a PNG without its last chunk, near the end."""
-    return F.when(fmt == "JPEG", ~F.contains(tail, _bytes(JPEG_END))).when(
-        fmt == "PNG", ~F.contains(tail, _bytes(PNG_END))
+def is_truncated(content: Column, fmt: Column) -> Column:
+    """A JPEG without its end marker, or a PNG without its last chunk; more may follow either."""
+    return F.when(fmt == "JPEG", ~F.contains(content, _bytes(JPEG_END))).when(
+        fmt == "PNG", ~F.contains(content, _bytes(PNG_END))
     ).otherwise(F.lit(False))
 
 
@@ -79,5 +78,5 @@ def is_unexpected_format(fmt: Column) -> Column:
     return fmt.isNotNull() & (fmt != "") & ~F.upper(fmt).isin(*EXPECTED_FORMATS)
 
 
-def image_error(tail: Column, fmt: Column) -> Column:
-    return F.when(fmt.isNull(), F.lit(UNKNOWN_DATA)).when(is_truncated(tail, fmt), F.lit(TRUNCATED_DATA))
+def image_error(truncated: Column, fmt: Column) -> Column:
+    return F.when(fmt.isNull(), F.lit(UNKNOWN_DATA)).when(truncated, F.lit(TRUNCATED_DATA))

@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from samplelake.staging import stage
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 HOT_ROWS = 1_000_000
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """True where ``df`` has no more than ``rows`` rows; counts one more at most."""
-    return df.limit(rows + 1).count() <= rows
+def fits_broadcast(narrow: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """True where a side has few enough rows and bytes to be copied to every task.
 
-
-def fits_broadcast(narrow: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True where a side of short columns has few enough rows to be copied."""
-    return at_most(narrow, rows)
+    Each task sends one row of sums, so the check gathers no rows.
+    """
+    texts = [F.octet_length(c) for c, kind in narrow.dtypes if kind in ("string", "binary")]
+    wide = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(8 * len(narrow.columns)))
+    found = narrow.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(wide.cast("long")), F.lit(0)).alias("size")).first()
+    return found["n"] <= rows and found["size"] <= size
 
 
 def _check(how: str) -> None:
@@ -47,11 +49,16 @@ def join_split(
 
     A key with more than ``hot_rows`` left rows is cut into portions of that size, and
     only the right rows of such keys are repeated, once per portion.  The table of hot
-    keys that is broadcast has at most one row per ``hot_rows`` left rows.
+    keys that is broadcast has at most one row per ``hot_rows`` left rows.  Left rows
+    with a null key match nothing and do not meet the shuffle.
     """
     _check(how)
-    if at_most(left.select(*on), hot_rows):  # too few rows for any key to be hot
+    if left.count() <= hot_rows:  # too few rows for any key to be hot
         return left.join(right, on, how)
+    whole = F.lit(True)
+    for key in on:
+        whole = whole & F.col(key).isNotNull()
+    lost, left = left.filter(~whole), left.filter(whole)
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
     copies = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int")
     hot = F.broadcast(stage(counts.select(*on, copies.alias("_copies")), "hot"))
@@ -64,4 +71,5 @@ def join_split(
         .withColumn("_portion", F.explode(F.sequence(F.lit(0), known - 1)))
         .drop("_copies")
     )
-    return spread.join(repeated, [*on, "_portion"], how).drop("_portion")
+    joined = spread.join(repeated, [*on, "_portion"], how).drop("_portion")
+    return joined if how == "inner" else joined.unionByName(lost, allowMissingColumns=True)

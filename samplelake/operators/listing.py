@@ -13,7 +13,7 @@ from samplelake.functions.paths import (
     is_sidecar,
     label_from_key,
     path_parts,
-    sample_key,
+    sample_key_or_index,
     split_base,
 )
 from samplelake.operators.labels import encode_labels, label_ids_first_seen
@@ -71,7 +71,7 @@ def shard_manifest(
         "shard",
         "shard_idx",
         "sample_idx",
-        sample_key(F.col("key")).alias("__key__"),
+        sample_key_or_index(F.col("key"), F.col("sample_idx")).alias("__key__"),
         F.col("label").alias("cls"),
         F.col("key").alias("source"),
         *keep,

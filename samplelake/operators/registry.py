@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from samplelake.sources.tables import NO_PATH
+
 REGISTRY_SCHEMA = T.StructType(
     [
         T.StructField("source_bucket", T.StringType()),
@@ -24,7 +26,9 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """The recorded scans; none where the table does not exist."""
     try:
         return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != NO_PATH:
+            raise
         return spark.createDataFrame([], REGISTRY_SCHEMA)
 
 

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from samplelake.functions.formats import (
     HEAD_BYTES,
-    TAIL_BYTES,
     has_exif_chunk,
     has_exif_marker,
     header_height,
     header_width,
     image_error,
     image_format,
+    is_truncated,
     is_unexpected_format,
 )
 
@@ -35,23 +35,23 @@ METADATA_COLUMNS = [
 def validate_bytes(objects: DataFrame) -> DataFrame:
     """Scan metadata of objects with ``key, size_bytes, content``, from the bytes alone."""
     content = F.col("content")
-    # The bytes are read once into a short head, a short tail and two flags.
+    # The bytes are read once into a short head and a few flags.
     ends = objects.select(
         "key",
         "size_bytes",
         F.substring(content, 1, HEAD_BYTES).alias("_head"),
-        F.substring(content, -TAIL_BYTES, TAIL_BYTES).alias("_tail"),
+        is_truncated(content, image_format(content)).alias("_truncated"),
         has_exif_marker(content).alias("_exif_marker"),
         has_exif_chunk(content).alias("_exif_chunk"),
     )
     found = ends.withColumn("_fmt", image_format(F.col("_head")))
-    head, tail, fmt = F.col("_head"), F.col("_tail"), F.col("_fmt")
+    head, fmt = F.col("_head"), F.col("_fmt")
     return _metadata(
         found.select(
             "key",
             "size_bytes",
             fmt,
-            image_error(tail, fmt).alias("error"),
+            image_error(F.col("_truncated"), fmt).alias("error"),
             header_width(head, fmt).alias("width"),
             header_height(head, fmt).alias("height"),
             F.when(fmt == "PNG", F.col("_exif_chunk")).otherwise(F.col("_exif_marker")).alias("_exif"),

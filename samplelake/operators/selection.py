@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samplelake.functions.paths import is_image_key
+from samplelake.operators.joins import join_narrow
 from samplelake.operators.numbering import first_per_group
+from samplelake.staging import stage
 
 # Name parts of metadata files that are always kept.
 METADATA_NAMES = ("wnids.txt", "words.txt", "val_annotations.txt", "boxes.txt")
@@ -49,13 +51,11 @@ def _in_first_classes(files: DataFrame, archive: DataFrame, n: int) -> DataFrame
 
     The table of allowed classes has at most ``n`` rows.
     """
-    allowed = class_order(archive).limit(n).withColumn("_allowed", F.lit(True))
-    tagged = files.withColumn("class_id", train_class(F.col("name")))
-    return (
-        tagged.join(allowed, "class_id", "left")
-        .filter(F.col("class_id").isNull() | F.col("_allowed"))
-        .select(*files.columns)
-    )
+    allowed = stage(class_order(archive).limit(n).withColumn("_allowed", F.lit(True)), "classes")
+    tagged = files.withColumn("_class_id", train_class(F.col("name")))
+    train = tagged.filter(F.col("_class_id").isNotNull())
+    kept = join_narrow(train, allowed.withColumnRenamed("class_id", "_class_id"), ["_class_id"], "inner")
+    return kept.select(*files.columns).unionByName(files.filter(train_class(F.col("name")).isNull()))
 
 
 def limit_classes(archive: DataFrame, n: int) -> DataFrame:

@@ -13,17 +13,18 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from samplelake.functions.formats import image_format
 from samplelake.functions.paths import dest_key, flat_prefix, metadata_key, split_base
 from samplelake.operators import ledger as led
 from samplelake.operators import scanning
 from samplelake.operators.batches import epoch_batches
 from samplelake.operators.batches import max_steps as first_batches
-from samplelake.operators.joins import join_split
+from samplelake.operators.joins import fits_broadcast
 from samplelake.operators.labels import encode_labels, label_ids_sorted
 from samplelake.operators.listing import (
     detect_sharded,
@@ -34,14 +35,13 @@ from samplelake.operators.listing import (
     with_class_ids,
 )
 from samplelake.operators.listing import shard_manifest as manifest_of
-from samplelake.operators.numbering import number_rows, shard_size_for
+from samplelake.operators.numbering import DEFAULT_SHARD_SIZE, number_rows, shard_size_for
 from samplelake.operators.registry import append_scan
 from samplelake.plans.config import shard_config
-from samplelake.plans.steps import Step, ToLevels, ToRgb, kernel_column, transform_images
+from samplelake.plans.steps import Step, ToLevels, kernel_column
 from samplelake.sources import keyed, objects, tables, tarshards
-from samplelake.sources.images import decode_images
+from samplelake.sources.images import codec_installed, decode_content, decode_images, or_fail
 from samplelake.staging import stage
-from samplelake.streaming.incremental import drain, new_images
 
 # Work between two ledger entries, which is what a stopped job repeats at most.
 WAVE_FILES = 1_000_000
@@ -55,8 +55,11 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("key", T.StringType()),
         T.StructField("run_id", T.StringType()),
         T.StructField("at", T.TimestampType()),
+        T.StructField("error", T.StringType()),
     ]
 )
+# Formats both decoders know.
+DECODED_FORMATS = ("JPEG", "PNG", "GIF", "BMP")
 
 
 @dataclass
@@ -181,10 +184,12 @@ def _shard_split(listing, prefix, split, extensions, shard_size, num_shards, ord
 
 
 def read_ledger(spark: SparkSession, path: str, job: str | None = None) -> DataFrame:
-    """Finished work; none where the ledger does not exist yet."""
+    """Work that needs no further run, done or with an ``error``; none where the ledger does not exist yet."""
     try:
         done = spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != tables.NO_PATH:
+            raise
         return spark.createDataFrame([], LEDGER_SCHEMA)
     return done if job is None else done.filter(F.col("job_id") == job)
 
@@ -222,58 +227,64 @@ def transform_flat(
     out: str,
     *,
     job: str,
-    decoder: str = "spark",
+    decoder: str | None = None,
     dest_prefix: str = "",
     wave: int = WAVE_FILES,
 ) -> Timings:
     """Transform the images below ``root`` that are not done yet, ``wave`` files at a time.
 
-    ``decoder="spark"`` runs the JVM's image source as a stream of files: its
-    checkpoint is the ledger, so a finished file is never opened again.
-    ``decoder="python"`` joins the listing with the ledger and opens pending files
-    with the codecs installed.
+    Pending work is the listing without the ledger, so late and old files are found as
+    well.  ``decoder`` is "python", "spark" or what the executors have.  An image that
+    cannot be decoded gets a ledger row that says why; where no decoder here knows
+    its format, it stays pending and the job fails once all the others are done.
     """
-    if decoder == "spark":
-        return _transform_stream(spark, root, steps, out, dest_prefix, wave)
-    return _transform_pending(spark, root, steps, out, job, dest_prefix, wave)
-
-
-def _transform_stream(spark, root, steps, out, dest_prefix, wave) -> Timings:
-    timings, base = Timings(), out.rstrip("/")
-    with timings.phase("process"):
-        images = new_images(spark, root, wave)
-        result = transform_images(images, [ToRgb(bgr=True), *steps, ToLevels()], levels=True, form="bytes")
-        drain(
-            result.withColumn("dest", dest_key(F.lit(dest_prefix), F.col("key"))),
-            f"{base}/images",
-            f"{base}/progress",
-        )
-    return timings
-
-
-def _transform_pending(spark, root, steps, out, job, dest_prefix, wave) -> Timings:
     timings, base = Timings(), out.rstrip("/")
     ledger_path = f"{base}/ledger"
     with timings.phase("list"):
         listed = filter_images(objects.list_objects(spark, root))
         todo = led.pending_work(listed, read_ledger(spark, ledger_path, job), ["key"])
         numbered = number_rows(todo, ["key"])
+    unknown: set[str] = set()
     for part in waves(numbered, wave):
         run = uuid.uuid4().hex
         with timings.phase("process"):
             placed = objects.spread_by_bytes(part, "size_bytes", ["key"])
-            fetched = objects.fetch_content(placed)
-            image = kernel_column([*steps, ToLevels()], F.col("content"), F.col("key"), form="bytes")
+            found = decode_content(objects.fetch_content(placed), decoder=decoder)
+            image = kernel_column([*steps, ToLevels()], F.col("image"), F.col("key"), levels=True, form="bytes")
             dest = dest_key(F.lit(dest_prefix), F.col("key"))
-            result = fetched.select("key", image.alias("image"), dest.alias("dest"))
             written = f"{base}/images/run={run}"
-            result.filter(F.col("image").isNotNull()).write.parquet(written)
+            found.select("key", image.alias("image"), dest.alias("dest"), "format").write.parquet(written)
         with timings.phase("ledger"):
-            finished = led.produced_only(part, spark.read.parquet(written).select("key"), ["key"])
-            append_to_ledger(finished.select("key"), ledger_path, job, run)
+            outcome = spark.read.parquet(written)
+            lost = F.col("image").isNull()
+            outcome = outcome.select("key", F.when(lost, _why(F.col("format"))).alias("error"), lost.alias("lost"), "format")
+            unknown |= _unknown_formats(outcome)
+            finished = outcome.filter(~F.col("lost") | _decodable(F.col("format")))
+            append_to_ledger(finished.select("key", "error"), ledger_path, job, run)
+    _check_formats(unknown)
     return timings
 
 
+def _decodable(fmt: Column) -> Column:
+    """Formats every decoder knows, and bytes of no known format, which none ever will."""
+    return fmt.isNull() | fmt.isin(*DECODED_FORMATS)
+
+
+def _why(fmt: Column) -> Column:
+    return F.concat(F.lit(f"{scanning.UNDECODABLE}: "), F.coalesce(fmt, F.lit("no known format")))
+
+
+def _unknown_formats(outcome: DataFrame) -> set[str]:
+    """Formats of ``lost, format`` rows no decoder here knows; formats are few."""
+    left = outcome.filter(F.col("lost") & ~_decodable(F.col("format"))).select("format").distinct()
+    return {r["format"] for r in left.collect()}
+
+
+def _check_formats(unknown: set[str]) -> None:
+    if unknown:
+        raise ValueError(f"no decoder is installed for {', '.join(sorted(unknown))}; these images stay pending")
+
+
 def waves(numbered: DataFrame, size: int, pos: str = "pos") -> Iterator[DataFrame]:
     """Portions of a numbered table; the driver sees only how many there are."""
     top = numbered.agg(F.max(pos).alias("top")).first()["top"]
@@ -282,16 +293,16 @@ def waves(numbered: DataFrame, size: int, pos: str = "pos") -> Iterator[DataFram
 
 
 def read_transformed(spark: SparkSession, out: str) -> DataFrame:
-    """``key, image, dest`` of transformed images.
-
-    A stream's output counts file by file; a run's once its ledger rows exist.
-    """
+    """``key, image, dest`` of transformed images; a run counts once its ledger rows exist."""
     base = out.rstrip("/")
-    images = spark.read.parquet(f"{base}/images")
-    if "run" not in images.columns:
-        return images
+    images = spark.read.parquet(f"{base}/images").filter(F.col("image").isNotNull())
     runs = read_ledger(spark, f"{base}/ledger").select(F.col("run_id").alias("run")).distinct()
-    return images.join(runs, "run", "left_semi").drop("run")
+    return images.join(runs, "run", "left_semi").drop("run", "format")
+
+
+def read_errors(spark: SparkSession, out: str, job: str | None = None) -> DataFrame:
+    """Ledger rows of work that cannot be done, with the reason."""
+    return read_ledger(spark, f"{out.rstrip('/')}/ledger", job).filter(F.col("error").isNotNull())
 
 
 def transform_sharded(
@@ -309,48 +320,88 @@ def transform_sharded(
     A shard with any pending sample is rebuilt whole.  Samples are joined with the
     manifest on shard and place while they are index rows; reading, transforming and
     writing then happen in the one task that owns the shard.  After every ``wave``
-    shards the ledger is extended.
+    shards the ledger gets a row per pending sample: done, or with the reason why not,
+    as for a broken image, one without an image member, or a manifest row without a
+    sample.  Samples of a format no decoder here knows stay pending, and the job fails
+    once all the others are done.  A shard whose tar is not there stays pending.
     """
     timings, base = Timings(), out.rstrip("/")
     ledger_path = f"{base}/ledger"
     with timings.phase("metadata_load"):
         manifest = tables.read_manifest(spark, root)
         pending = led.pending_work(manifest, read_ledger(spark, ledger_path, job), ["shard", "sample_idx"])
-        needed = number_rows(led.needed_shards(pending), ["shard"])
         found = objects.list_objects(spark, root) if listing is None else listing
         files = tarshards.shard_files(found)
-    rows = manifest.select("shard", "sample_idx", "__key__")
-    for part in waves(needed, wave):
+        present = led.needed_shards(pending).join(files.select("shard"), "shard", "left_semi")
+        needed = number_rows(present, ["shard"])
+        todo = stage(pending.select("shard", "sample_idx", F.col("__key__").alias("key")), "pending")
+    direct = codec_installed(spark)
+    size = wave if direct else max(1, min(wave, WAVE_FILES // DEFAULT_SHARD_SIZE))
+    rows = manifest.select("shard", "sample_idx")
+    unknown: set[str] = set()
+    for part in waves(needed, size):
         with timings.phase("index"):
             index = tarshards.index_shards(files.join(part, "shard", "left_semi"))
-            known = led.join_manifest(index, rows).filter(tarshards.has_place(F.col("places")))
-            wanted = stage(known, "wanted")
+            known = led.join_manifest(index, rows)
+            wanted = stage(known.filter(tarshards.has_place(F.col("places"))), "wanted")
         with timings.phase("process"):
-            placed = tarshards.place_by_shard(wanted, part.count())
-            written = tarshards.write_placed_shards(_transformed_samples(placed, steps), base)
+            count = part.count()
+            if direct:
+                samples = _transformed_samples(tarshards.fetch_members(tarshards.place_by_shard(wanted, count)), steps)
+            else:
+                samples = _transformed_samples(tarshards.fetch_members(tarshards.spread_reads(wanted)), steps)
+                samples = tarshards.place_by_shard(stage(samples, "transformed"), count)
+            written = tarshards.write_placed_shards(samples, base)
         with timings.phase("ledger"):
-            finished = led.produced_only(wanted, written, ["shard"])
-            append_to_ledger(
-                finished.select("shard", "sample_idx", F.col("__key__").alias("key")),
-                ledger_path,
-                job,
-                uuid.uuid4().hex,
-            )
+            here = todo.join(part.select("shard"), "shard", "left_semi")
+            lost = written.select("shard", F.explode("skipped").alias("sample_idx"))
+            outcome = stage(_outcome(here, known, wanted, lost), "outcome")
+            unknown |= _unknown_formats(outcome)
+            finished = outcome.filter(~F.col("lost") | _decodable(F.col("format")))
+            append_to_ledger(finished.select("shard", "sample_idx", "key", "error"), ledger_path, job, uuid.uuid4().hex)
+    _check_formats(unknown)
     return timings
 
 
-def _transformed_samples(index: DataFrame, steps: Sequence[Step]) -> DataFrame:
-    """``shard, key, members`` of transformed samples, in the order of the index rows."""
+def _outcome(pending: DataFrame, known: DataFrame, wanted: DataFrame, lost: DataFrame) -> DataFrame:
+    """What became of each pending sample: ``shard, sample_idx, key, error, lost, format``.
+
+    The formats of the samples lost, which are few, are read again from their tars.
+    """
+    on = ["shard", "sample_idx"]
+    again = tarshards.fetch_members(tarshards.spread_reads(stage(wanted.join(lost, on, "left_semi"), "lost")))
+    formats = again.select(*on, image_format(_image_member(F.col("members"))).alias("format"), F.lit(True).alias("lost"))
+    sides = known.select(*on, tarshards.has_place(F.col("places")).alias("image"))
+    found = pending.join(sides, on, "left").join(formats, on, "left")
+    reason = (
+        F.when(F.col("image").isNull(), F.lit("no sample at this place of the shard"))
+        .when(~F.col("image"), F.lit("no image member"))
+        .when(F.col("lost"), _why(F.col("format")))
+    )
+    return found.select(*on, "key", reason.alias("error"), F.coalesce("lost", F.lit(False)).alias("lost"), "format")
+
+
+def audit_shards(spark: SparkSession, root: str) -> DataFrame:
+    """``shard, sample_idx, side``: manifest rows without a sample, and samples without a manifest row."""
+    index = tarshards.index_shards(tarshards.list_shard_files(spark, root))
+    return led.reconcile_keys(index, tables.read_manifest(spark, root), ["shard", "sample_idx"])
+
+
+def _image_member(members: Column) -> Column:
+    return F.coalesce(*[members[m] for m in tarshards.IMAGE_MEMBERS])
+
+
+def _transformed_samples(fetched: DataFrame, steps: Sequence[Step]) -> DataFrame:
+    """``shard, sample_idx, key, members`` of transformed samples; null members where decoding failed."""
     members = F.col("members")
-    source = F.coalesce(*[members[m] for m in tarshards.IMAGE_MEMBERS])
-    fetched = tarshards.fetch_members(index).select(
-        "shard", "key", source.alias("_content"), members["cls"].alias("_cls")
+    narrow = fetched.select(
+        "shard", "sample_idx", "key", _image_member(members).alias("content"), members["cls"].alias("_cls")
     )
-    image = kernel_column([*steps, ToLevels()], F.col("_content"), F.col("key"), form="png")
-    done = fetched.select("shard", "key", "_cls", image.alias("_png")).filter(F.col("_png").isNotNull())
+    image = kernel_column([*steps, ToLevels()], F.col("image"), F.col("key"), levels=True, form="png")
+    done = decode_content(narrow).select("shard", "sample_idx", "key", "_cls", image.alias("_png"))
     both = F.create_map(F.lit("png"), F.col("_png"), F.lit("cls"), F.col("_cls"))
-    present = F.map_filter(both, lambda _, data: data.isNotNull())
-    return done.select("shard", "key", present.alias("members"))
+    present = F.when(F.col("_png").isNotNull(), F.map_filter(both, lambda _, data: data.isNotNull()))
+    return done.select("shard", "sample_idx", "key", present.alias("members"))
 
 
 # --- keyed datasets and training views ------------------------------------------------
@@ -391,11 +442,36 @@ def image_folder(
     return encode_labels(samples, label_ids_sorted(samples), missing=0)
 
 
+def _decoded_records(records: DataFrame) -> DataFrame:
+    """Records with their image decoded; the job fails at one that cannot be.
+
+    Without a codec on the executors, records are decoded ``WAVE_FILES`` at a time.
+    """
+    spark = records.sparkSession
+    if codec_installed(spark):
+        done = decode_content(records.withColumnRenamed("image", "content"))
+    else:
+        top = records.agg(F.max("idx").alias("top")).first()["top"] or 0
+        parts = [
+            decode_content(records.filter(F.col("idx").between(at, at + WAVE_FILES - 1)).withColumnRenamed("image", "content"))
+            for at in range(0, top + 1, WAVE_FILES)
+        ]
+        done = reduce(DataFrame.unionByName, parts)
+    return done.withColumn("image", or_fail(F.col("image"), F.col("key"))).drop("format")
+
+
+def _training_image(steps: Sequence[Step]) -> Column:
+    form = "floats" if steps else "bytes"
+    return kernel_column(steps, F.col("image"), F.col("key"), levels=True, form=form)
+
+
 def read_for_training(spark: SparkSession, out: str, steps: Sequence[Step] = ()) -> DataFrame:
-    """``idx, key, label, image`` of a keyed dataset, decoded and transformed."""
-    records = keyed.read_keyed(spark, out)
-    image = kernel_column(steps, F.col("image"), F.col("key"), form="floats" if steps else "bytes")
-    return records.withColumn("image", image).select("idx", "key", "label", "image")
+    """``idx, key, label, image`` of a keyed dataset, decoded and transformed.
+
+    A record that cannot be decoded fails the job.
+    """
+    records = _decoded_records(keyed.read_keyed(spark, out))
+    return records.withColumn("image", _training_image(steps)).select("idx", "key", "label", "image")
 
 
 def training_batches(
@@ -411,14 +487,28 @@ def training_batches(
 ) -> DataFrame:
     """Shuffled batches of a keyed dataset: ``epoch, batch_id, batch_pos, idx, key, label, image``.
 
-    Batches are worked out on indices.  Encoded images then move to their batch, and
-    are decoded and transformed there; each batch lies in order in one partition.
+    Batches are worked out on indices, and the plan is joined where the images are: a
+    plan small enough is copied to them, so that encoded images move once, to their
+    batch.  There they are transformed; each batch lies in order in one partition.  A
+    record that cannot be decoded fails the job.
     """
     data = keyed.read_keyed(spark, out)
     plan = epoch_batches(data.select("idx", "key"), batch_size, epoch=epoch, seed=seed, pad_last=pad_last)
     if max_steps is not None:
         plan = first_batches(plan, max_steps)
-    rows = join_split(plan.drop("key"), data, ["idx"], "inner")
-    placed = rows.repartition("batch_id").sortWithinPartitions("batch_id", "batch_pos")
-    image = kernel_column(steps, F.col("image"), F.col("key"), form="floats" if steps else "bytes")
-    return placed.withColumn("image", image)
+    plan = stage(plan.drop("key"), "batches")
+    needed = data if max_steps is None else data.join(plan.select("idx"), "idx", "left_semi")
+    if codec_installed(spark):
+        rows = _planned(plan, needed).repartition("batch_id").sortWithinPartitions("batch_id", "batch_pos")
+        rows = _decoded_records(rows)
+    else:
+        rows = _planned(plan, _decoded_records(needed))
+        rows = rows.repartition("batch_id").sortWithinPartitions("batch_id", "batch_pos")
+    columns = ["epoch", "batch_id", "batch_pos", "idx", "key", "label", "image"]
+    return rows.withColumn("image", _training_image(steps)).select(*columns)
+
+
+def _planned(plan: DataFrame, data: DataFrame) -> DataFrame:
+    if fits_broadcast(plan):
+        return data.join(F.broadcast(plan), "idx")
+    return plan.join(data, "idx")

@@ -7,6 +7,9 @@ import uuid
 
 from pyarrow import fs
 
+# How names of files begin that are being written; listings pass over these and nothing else.
+UNFINISHED = "_samplelake_unfinished-"
+
 _URI = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(/.*)?$")
 
 
@@ -64,9 +67,9 @@ class Files:
     def start(self, path: str):
         """A writer beside ``path``; :meth:`finish` gives the file its name."""
         system, inner = self.at(path)
-        folder = inner.rsplit("/", 1)[0]
+        folder, _, name = inner.rpartition("/")
         system.create_dir(folder, recursive=True)
-        part = f"{inner}.{uuid.uuid4().hex[:8]}.part"
+        part = f"{folder}/{UNFINISHED}{uuid.uuid4().hex[:8]}-{name}"
         return system.open_output_stream(part), part
 
     def finish(self, path: str, part: str) -> None:

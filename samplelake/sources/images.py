@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from samplelake.functions import codecs
+from samplelake.functions.formats import image_format
 from samplelake.functions.paths import is_image_key
-from samplelake.plans.steps import kernel_column
-from samplelake.sources.objects import key_under
+from samplelake.plans.steps import ToRgb, kernel_column
+from samplelake.sources.objects import key_under, write_objects
+from samplelake.staging import stage, staging_path
 
 
 def decode_images(spark: SparkSession, root: str) -> DataFrame:
@@ -22,7 +28,9 @@ def decode_images(spark: SparkSession, root: str) -> DataFrame:
 
 def image_rows(files: DataFrame, root: str) -> DataFrame:
     """Rows of the image source, in the columns of :func:`decode_images`."""
-    key = key_under(F.col("image.origin"), root)
+    # The origin is a URI, where only some characters are escaped and a plus stands for itself.
+    origin = F.url_decode(F.regexp_replace(F.col("image.origin"), "[+]", "%2B"))
+    key = key_under(origin, root)
     pixels = F.struct(
         F.col("image.height").alias("h"),
         F.col("image.width").alias("w"),
@@ -37,8 +45,52 @@ def image_rows(files: DataFrame, root: str) -> DataFrame:
     ).filter(is_image_key(F.col("key")))
 
 
+def codec_installed(spark: SparkSession) -> bool:
+    """True where the executors have a full image codec for Python."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([codecs.full_codec()])], ["found"])
+
+    return spark.range(0, 1, 1, 1).mapInArrow(look, "found boolean").first()["found"]
+
+
+def decode_content(rows: DataFrame, content: str = "content", decoder: str | None = None) -> DataFrame:
+    """Replace image bytes by ``image``, RGB levels, and ``format``; the image is null where none can be read.
+
+    With a codec on the executors ("python"), rows are decoded where they are.  Else
+    ("spark") the bytes are written as files and read by the JVM's image source, which
+    knows JPEG, PNG, GIF and BMP; call it for bounded portions of rows, as that source
+    keeps its file names on the driver.
+    """
+    spark = rows.sparkSession
+    fmt = image_format(F.col(content)).alias("format")
+    if decoder == "python" or (decoder is None and codec_installed(spark)):
+        image = kernel_column([], F.col(content), form="bytes")
+        return rows.select("*", fmt, image.alias("image")).drop(content)
+    kept = stage(rows.withColumn("_at", F.monotonically_increasing_id()), "encoded")
+    folder = staging_path(spark, "decoding")
+    name = F.concat((F.col("_at") % 1000).cast("string"), F.lit("/"), F.col("_at").cast("string"), F.lit(".jpg"))
+    full = kept.filter(F.octet_length(content) > 0)
+    narrow = kept.select(*[c for c in kept.columns if c != content], fmt)
+    if write_objects(full.select(name.alias("key"), content), folder, content=content).isEmpty():
+        return narrow.withColumn("image", kernel_column([], F.lit(None).cast("binary"), form="bytes")).drop("_at")
+    read = image_rows(spark.read.format("image").option("recursiveFileLookup", True).load(folder), folder)
+    read = read.filter(F.col("image").isNotNull())
+    pixels = read.select(
+        F.regexp_extract("key", r"(\d+)\.jpg$", 1).cast("long").alias("_at"),
+        kernel_column([ToRgb(bgr=True)], F.col("image"), levels=True, form="bytes").alias("image"),
+    )
+    return narrow.join(pixels, "_at", "left").drop("_at")
+
+
+def or_fail(image: Column, key: Column) -> Column:
+    """The image; the job fails at one that could not be decoded."""
+    return F.when(image.isNull(), F.raise_error(F.concat(F.lit("image cannot be decoded: "), key))).otherwise(image)
+
+
 def decoded(content: Column) -> Column:
-    """RGB image struct of image bytes; null where they cannot be decoded."""
+    """RGB image struct of image bytes, by what codec the executors have; null where it fails."""
     return kernel_column([], content, form="bytes")
 
 

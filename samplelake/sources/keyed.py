@@ -10,6 +10,7 @@ from pyspark.sql.utils import AnalysisException
 from samplelake.functions.values import source_hash
 from samplelake.operators.numbering import dense_index
 from samplelake.sources.objects import fetch_content, spread_by_bytes
+from samplelake.sources.tables import NO_PATH
 
 DATASET_SCHEMA = T.StructType(
     [
@@ -37,8 +38,10 @@ VERSION = 1
 def content_hash(key: Column, size: Column) -> Column:
     """Hash of a set of keys and sizes that does not depend on their order."""
     digest = F.md5(F.concat_ws(":", key, size.cast("string")))
-    part = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-    return F.lower(F.hex(F.sum(part)))
+    part = F.conv(F.substring(digest, 1, 8), 16, 10).cast("decimal(38,0)")
+    total = F.coalesce(F.sum(part), F.lit(0).cast("decimal(38,0)"))
+    # The lower 63 bits, which any number of records fits.
+    return F.lower(F.hex((total % F.lit(str(1 << 63)).cast("decimal(38,0)")).cast("long")))
 
 
 def write_keyed(
@@ -91,6 +94,8 @@ def load_manifest(spark: SparkSession, out: str) -> DataFrame:
     try:
         return spark.read.schema(MANIFEST_SCHEMA).json(path)
     except AnalysisException as e:
+        if e.getCondition() != NO_PATH:
+            raise
         raise FileNotFoundError(f"Manifest not found: {path}") from e
 
 

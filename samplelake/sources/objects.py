@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from samplelake.functions.paths import IMAGE_EXTENSIONS
 from samplelake.operators.listing import filter_objects
-from samplelake.sources.files import Files, split_path
+from samplelake.sources.files import UNFINISHED, Files, split_path
 from samplelake.staging import stage
 
 FETCH_BYTES = 16 << 20
@@ -33,6 +33,10 @@ def key_under(path: Column, root: str) -> Column:
     return F.substring(inner, len(base) + 1, 1 << 30)
 
 
+def file_of(path: str) -> str:
+    return path.rstrip("/").rpartition("/")[2]
+
+
 def _walk(files: Files, folders: list[str], stop_at: int | None) -> Iterator[pa.RecordBatch]:
     """Entries below some folders, one folder at a time.
 
@@ -41,7 +45,7 @@ def _walk(files: Files, folders: list[str], stop_at: int | None) -> Iterator[pa.
     waiting = deque(folders)
     while waiting and (stop_at is None or len(waiting) < stop_at):
         folder = waiting.popleft()
-        found = [(path, size) for path, size in files.entries(folder) if not path.endswith(".part")]
+        found = [(path, size) for path, size in files.entries(folder) if not file_of(path).startswith(UNFINISHED)]
         waiting.extend(path for path, size in found if size is None)
         yield from _entries([f for f in found if f[1] is not None], False)
     yield from _entries([(path, 0) for path in waiting], True)
@@ -82,26 +86,10 @@ def list_objects(spark: SparkSession, root: str, extensions: Iterable[str] | Non
     return filter_objects(stage(listed, "listing"), extensions)
 
 
-def unseen_by_scans(key: Column, size: Column) -> Column:
-    """Objects a Spark file scan passes over: empty ones, and hidden names."""
-    return (size == 0) | key.rlike(r"(^|/)([.]|_(?![^/]*=))")
-
-
 def read_objects(spark: SparkSession, root: str, images_only: bool = False) -> DataFrame:
-    """Every object below ``root`` with its bytes; parallel by file split.
-
-    The few objects a file scan passes over are read by path.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    scanned = files.select(
-        "path",
-        key_under(F.col("path"), root).alias("key"),
-        F.col("length").alias("size_bytes"),
-        "content",
-    )
-    passed = list_objects(spark, root).filter(unseen_by_scans(F.col("key"), F.col("size_bytes")))
-    objects = scanned.unionByName(fetch_content(passed))
-    return filter_objects(objects, IMAGE_EXTENSIONS if images_only else None)
+    """Every listed object below ``root`` with its bytes, whatever its name, dealt to tasks by size."""
+    listed = list_objects(spark, root, IMAGE_EXTENSIONS if images_only else None)
+    return fetch_content(spread_by_bytes(listed, "size_bytes", ["key"]))
 
 
 def read_object(spark: SparkSession, root: str, key: str) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from samplelake.functions.paths import strip
 
+# The one analysis error that means a table is not there yet.
+NO_PATH = "PATH_NOT_FOUND"
+
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("shard", T.StringType()),

@@ -34,6 +34,7 @@ INDEX_SCHEMA = (
 IMAGE_MEMBERS = ("jpg", "jpeg", "png")
 INDEX_ROWS = 5000
 SHARDS_PER_TASK = 25
+TARS_PER_TASK = 4
 
 
 def list_shard_files(spark: SparkSession, root: str) -> DataFrame:
@@ -42,8 +43,15 @@ def list_shard_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def shard_files(listing: DataFrame) -> DataFrame:
-    """The tars of a listing, with their file names as ``shard``."""
-    return filter_objects(listing, [".tar"]).withColumn("shard", file_name(F.col("key")))
+    """The tars of a listing, with their file names as ``shard``.
+
+    Manifests name shards by file name, so two tars of one name are refused.
+    """
+    tars = filter_objects(listing, [".tar"]).withColumn("shard", file_name(F.col("key")))
+    twice = tars.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")).filter("n > 1").first()
+    if twice is not None:
+        raise ValueError(f"{twice['n']} tars are named {twice['shard']}, one of them {twice['key']}")
+    return tars
 
 
 def _split_member(name: str) -> tuple[str, str]:
@@ -112,8 +120,14 @@ def _index_batch(rows: list[dict]) -> list[pa.RecordBatch]:
 
 
 def index_shards(shard_files: DataFrame) -> DataFrame:
-    """One row per sample of the given tars, with the places of its members."""
-    return stage(shard_files.select("shard", "path").mapInArrow(_index, INDEX_SCHEMA), "index")
+    """One row per sample of the given tars, with the places of its members.
+
+    Tars are dealt to tasks by number, wherever their listing came from: headers are
+    read by seeking, so a tar costs by its samples and not by its bytes.
+    """
+    files = shard_files.select("shard", "path")
+    n = max(1, -(-files.count() // TARS_PER_TASK))
+    return stage(files.repartition(n, "path").mapInArrow(_index, INDEX_SCHEMA), "index")
 
 
 def has_member(members: Column, names: tuple[str, ...] = IMAGE_MEMBERS) -> Column:
@@ -195,32 +209,40 @@ def place_by_shard(rows: DataFrame, n_shards: int, order: str = "shard") -> Data
 def write_placed_shards(rows: DataFrame, root: str) -> DataFrame:
     """Write one tar per shard from rows already placed by :func:`place_by_shard`.
 
-    Rows have ``shard, key, members``.  A task writes one tar at a time, sample by
-    sample, under a temporary name and renames it when complete, so a repeated task
-    leaves the same file.  Gives ``shard, samples, size_bytes`` of every tar.
+    Rows have ``shard, sample_idx, key, members``.  A task writes one tar at a time,
+    sample by sample, under a temporary name and renames it when complete, so a
+    repeated task leaves the same file.  A sample without members is not written.
+    Gives ``shard, samples, size_bytes, skipped`` of every shard: the places of the
+    samples left out, and no tar where that is all of them.
     """
     base = root.rstrip("/")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, receipts = Files(), []
         current = tar = out = part = None
-        count = 0
+        count, skipped = 0, []
 
         def close():
-            tar.close()
-            size = out.tell()
-            out.close()
-            files.finish(f"{base}/{current}", part)
-            receipts.append((current, count, size))
+            size = 0
+            if tar is not None:
+                tar.close()
+                size = out.tell()
+                out.close()
+                files.finish(f"{base}/{current}", part)
+            receipts.append((current, count, size, skipped))
 
         for batch in batches:
-            shards, keys, members = (batch.column(i) for i in range(3))
+            shards, places, keys, members = (batch.column(i) for i in range(4))
             for row in range(batch.num_rows):
                 shard = shards[row].as_py()
                 if shard != current:
-                    if tar is not None:
+                    if current is not None:
                         close()
-                    current, count = shard, 0
+                    current, count, tar, skipped = shard, 0, None, []
+                if not members[row].is_valid:
+                    skipped.append(places[row].as_py())
+                    continue
+                if tar is None:
                     out, part = files.start(f"{base}/{shard}")
                     tar = tarfile.open(fileobj=out, mode="w|", format=tarfile.PAX_FORMAT)
                 key = keys[row].as_py().replace(".", "_")
@@ -229,14 +251,15 @@ def write_placed_shards(rows: DataFrame, root: str) -> DataFrame:
                     info.size = len(data)
                     tar.addfile(info, io.BytesIO(data))
                 count += 1
-        if tar is not None:
+        if current is not None:
             close()
         if receipts:
-            columns = [pa.array(c) for c in zip(*receipts)]
-            yield pa.RecordBatch.from_arrays(columns, ["shard", "samples", "size_bytes"])
+            shards, samples, sizes, left = zip(*receipts)
+            columns = [pa.array(shards), pa.array(samples), pa.array(sizes), pa.array(left, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "samples", "size_bytes", "skipped"])
 
-    written = rows.select("shard", "key", "members").mapInArrow(
-        write, "shard string, samples long, size_bytes long"
+    written = rows.select("shard", F.col("sample_idx").cast("long"), "key", "members").mapInArrow(
+        write, "shard string, samples long, size_bytes long, skipped array<long>"
     )
     return stage(written, "shards")
 

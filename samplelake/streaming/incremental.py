@@ -1,84 +1,39 @@
-"""Incremental scans: each object is validated once, whenever it arrives."""
+"""Incremental scans: each object is validated once, whenever it arrives and whatever its date."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from samplelake.functions.paths import is_image_key
+from samplelake.operators.ledger import pending_work
+from samplelake.operators.listing import filter_images
+from samplelake.operators.numbering import number_rows
 from samplelake.operators.scanning import validate_bytes
-from samplelake.sources.images import image_rows
-from samplelake.sources.objects import key_under
+from samplelake.plans.jobs import WAVE_FILES, append_to_ledger, read_ledger, waves
+from samplelake.sources.objects import fetch_content, list_objects, spread_by_bytes
 
-LISTING_SETTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-LISTING_PER_CORE = 4
-FILES_PER_BATCH = 1_000_000
-
-IMAGE_SCHEMA = (
-    "image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>"
-)
-FILE_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
-
-
-def new_objects(spark: SparkSession, root: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """Stream of image objects below ``root`` with their bytes."""
-    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", True)
-    files = reader.option("maxFilesPerTrigger", files_per_batch).load(root)
-    return files.select(
-        key_under(F.col("path"), root).alias("key"), F.col("length").alias("size_bytes"), "content"
-    ).filter(is_image_key(F.col("key")))
-
-
-def new_images(spark: SparkSession, root: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """Stream of decoded images below ``root``: ``key, image``, pixels in BGR order."""
-    reader = spark.readStream.format("image").schema(IMAGE_SCHEMA).option("recursiveFileLookup", True)
-    images = image_rows(reader.option("maxFilesPerTrigger", files_per_batch).load(root), root)
-    return images.filter(F.col("image").isNotNull()).select("key", "image")
-
-
-@contextmanager
-def listing_tasks(spark: SparkSession) -> Iterator[None]:
-    """Look files up with a few tasks per core instead of one per file."""
-    usual = spark.conf.get(LISTING_SETTING)
-    few = min(int(usual), LISTING_PER_CORE * spark.sparkContext.defaultParallelism)
-    spark.conf.set(LISTING_SETTING, str(few))
-    try:
-        yield
-    finally:
-        spark.conf.set(LISTING_SETTING, usual)
-
-
-def drain(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
-    """Process all that has arrived, write it, and stop; gives everything written so far.
-
-    The checkpoint remembers finished input, so a later call continues from there.
-    """
-    with listing_tasks(stream.sparkSession):
-        run = (
-            stream.writeStream.format("parquet")
-            .option("checkpointLocation", checkpoint)
-            .option("path", out)
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start()
-        )
-        run.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(out)
+JOB = "scan"
 
 
 def incremental_scan(
-    spark: SparkSession, root: str, out: str, checkpoint: str, files_per_batch: int = FILES_PER_BATCH
+    spark: SparkSession, root: str, out: str, checkpoint: str, files_per_batch: int = WAVE_FILES
 ) -> DataFrame:
-    """Scan metadata of every object seen so far; only new objects are read."""
-    return drain(validate_bytes(new_objects(spark, root, files_per_batch)), out, checkpoint)
+    """Scan metadata of every object seen so far; only new objects are read.
+
+    New is what the listing has and the ledger at ``checkpoint`` has not.  Output is
+    written before its ledger rows, and counts once they are there.
+    """
+    base = out.rstrip("/")
+    todo = pending_work(filter_images(list_objects(spark, root)), read_ledger(spark, checkpoint, JOB), ["key"])
+    for part in waves(number_rows(todo, ["key"]), files_per_batch):
+        run = uuid.uuid4().hex
+        content = fetch_content(spread_by_bytes(part, "size_bytes", ["key"]))
+        validate_bytes(content).write.parquet(f"{base}/run={run}")
+        append_to_ledger(spark.read.parquet(f"{base}/run={run}").select("key"), checkpoint, JOB, run)
+    runs = read_ledger(spark, checkpoint, JOB).select(F.col("run_id").alias("run")).distinct()
+    nothing = validate_bytes(fetch_content(list_objects(spark, root).limit(0)))
+    if runs.isEmpty():
+        return nothing
+    return spark.read.parquet(base).join(runs, "run", "left_semi").select(*nothing.columns)
