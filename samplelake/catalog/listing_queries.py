@@ -397,12 +397,16 @@ judged AS (
 metadata AS (
   SELECT key, size_bytes,
     CASE WHEN error IS NOT NULL THEN NULL WHEN fmt = 'PNG' THEN ('0x' || substr(hx, 33, 8))::INTEGER
+         WHEN fmt = 'JPEG' THEN ('0x' || substr(hx, 23 + 2 * ('0x' || substr(hx, 9, 4))::INTEGER, 4))::INTEGER
          WHEN fmt = 'GIF' THEN ('0x' || substr(hx, 15, 2) || substr(hx, 13, 2))::INTEGER END AS width,
     CASE WHEN error IS NOT NULL THEN NULL WHEN fmt = 'PNG' THEN ('0x' || substr(hx, 41, 8))::INTEGER
+         WHEN fmt = 'JPEG' THEN ('0x' || substr(hx, 19 + 2 * ('0x' || substr(hx, 9, 4))::INTEGER, 4))::INTEGER
          WHEN fmt = 'GIF' THEN ('0x' || substr(hx, 19, 2) || substr(hx, 17, 2))::INTEGER END AS height,
     CASE WHEN error IS NULL THEN fmt END AS format, error IS NOT NULL AS corrupted,
     error IS NULL AND fmt NOT IN ('JPEG', 'PNG', 'GIF', 'WEBP', 'BMP', 'TIFF') AS unexpected_format,
-    error IS NULL AND (CASE WHEN fmt = 'PNG' THEN contains(hx, '65584966') ELSE contains(hx, '457869660000') END) AS exif_present,
+    error IS NULL AND (CASE WHEN fmt = 'PNG' THEN contains(hx, '65584966')
+      WHEN fmt = 'JPEG' THEN substr(hx, 5, 4) = 'FFE1' AND substr(hx, 13, 12) = '457869660000'
+      ELSE contains(hx, '457869660000') END) AS exif_present,
     error
   FROM judged)"""
 SCAN = (O, v.BLOBS, VALID)

@@ -61,15 +61,21 @@ def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id")
     kind = d % 7
     spanish, french, english = (F.col("lang") == x for x in ("es", "fr", "en"))
-    jpeg_head = F.when((kind == 0) & english, F.lit("FFD8FFE100104578696600")).otherwise(F.lit("FFD8FFE000104A46494600"))
     width = F.lpad(F.hex(1 + d % 300), 8, "0")
     height = F.lpad(F.hex(1 + F.col("n_chars") % 200), 8, "0")
+    # A first segment of 16 bytes, with Exif in some, and a frame behind it.
+    jpeg_head = F.concat(
+        F.when((kind == 0) & english, F.lit("FFD8FFE10010457869660000")).otherwise(F.lit("FFD8FFE000104A4649460000")),
+        F.lit("0000000000000000FFC0001108"),
+        F.substring(height, 5, 4),
+        F.substring(width, 5, 4),
+    )
 
     def little(side):
         return F.concat(F.substring(side, 7, 2), F.substring(side, 5, 2))
 
     head = (
-        F.when(kind <= 1, F.concat(jpeg_head, F.lit("00")))
+        F.when(kind <= 1, jpeg_head)
         .when(kind == 2, F.concat(F.lit(PNG_HEAD), width, height))
         .when((kind == 3) & french, F.lit("50360A"))
         .when(kind == 3, F.concat(F.lit("474946383961"), little(width), little(height)))
@@ -93,8 +99,8 @@ BLOBS = f"""blob_parts AS (
   FROM objects),
 blobs AS (
   SELECT key, size_bytes, doc_id,
-    CASE WHEN kind = 0 AND lang = 'en' THEN 'FFD8FFE10010457869660000'
-         WHEN kind <= 1 THEN 'FFD8FFE000104A4649460000'
+    CASE WHEN kind <= 1 THEN CASE WHEN kind = 0 AND lang = 'en' THEN 'FFD8FFE10010457869660000' ELSE 'FFD8FFE000104A4649460000' END
+           || '0000000000000000FFC0001108' || substr(hh, 5, 4) || substr(wh, 5, 4)
          WHEN kind = 2 THEN '{PNG_HEAD}' || wh || hh
          WHEN kind = 3 AND lang = 'fr' THEN '50360A'
          WHEN kind = 3 THEN '474946383961' || substr(wh, 7, 2) || substr(wh, 5, 2) || substr(hh, 7, 2) || substr(hh, 5, 2)

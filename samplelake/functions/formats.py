@@ -22,6 +22,12 @@ JPEG_END = "FFD9"
 PNG_END = "49454E44AE426082"
 EXIF_MARKER = "457869660000"
 PNG_EXIF_CHUNK = "65584966"
+# Markers of JPEG frames, whose segment holds the size.
+JPEG_FRAMES = (
+    "FFC0", "FFC1", "FFC2", "FFC3", "FFC5", "FFC6", "FFC7", "FFC9", "FFCA", "FFCB", "FFCD", "FFCE", "FFCF",
+)
+# Segments looked at before a JPEG's frame; a file with more has no size here.
+JPEG_SEGMENTS = 256
 HEAD_BYTES = 32
 UNKNOWN_DATA = "unrecognised image data"
 TRUNCATED_DATA = "image data is truncated"
@@ -58,6 +64,31 @@ def header_height(content: Column, fmt: Column) -> Column:
     return _header_side(content, fmt, 21, 9, 23)
 
 
+def jpeg_facts(content: Column) -> Column:
+    """``at, height, width, exif`` of a JPEG, from a walk over the segments before its pixels."""
+
+    def number(at: Column) -> Column:
+        return F.conv(F.hex(F.substring(content, at, F.lit(2))), 16, 10).cast("int")
+
+    def step(s: Column, _: Column) -> Column:
+        at = s["at"]
+        marker = F.hex(F.substring(content, at, F.lit(2)))
+        frame = (at > 0) & marker.isin(*JPEG_FRAMES)
+        exif = (at > 0) & (marker == "FFE1") & (F.hex(F.substring(content, at + 4, F.lit(6))) == EXIF_MARKER)
+        ended = (at == 0) | frame | (marker == "FFDA") | ~marker.startswith("FF")
+        after = F.when(marker == "FFFF", at + 1).otherwise(at + 2 + F.greatest(number(at + 2), F.lit(2)))
+        return F.struct(
+            F.coalesce(F.when(ended, 0).otherwise(after), F.lit(0)).alias("at"),
+            F.when(frame, number(at + 5)).otherwise(s["height"]).alias("height"),
+            F.when(frame, number(at + 7)).otherwise(s["width"]).alias("width"),
+            F.coalesce(s["exif"] | exif, F.lit(False)).alias("exif"),
+        )
+
+    none = F.lit(None).cast("int")
+    start = F.struct(F.lit(3).alias("at"), none.alias("height"), none.alias("width"), F.lit(False).alias("exif"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(JPEG_SEGMENTS)), start, step)
+
+
 def is_truncated(content: Column, fmt: Column) -> Column:
     """A JPEG without its end marker, or a PNG without its last chunk; more may follow either."""
     return F.when(fmt == "JPEG", ~F.contains(content, _bytes(JPEG_END))).when(
@@ -66,6 +97,7 @@ def is_truncated(content: Column, fmt: Column) -> Column:
 
 
 def has_exif_marker(content: Column) -> Column:
+    """The marker anywhere, for formats other than JPEG and PNG."""
     return F.contains(content, _bytes(EXIF_MARKER))
 
 

@@ -15,6 +15,7 @@ from samplelake.functions.formats import (
     image_format,
     is_truncated,
     is_unexpected_format,
+    jpeg_facts,
 )
 
 BYTES_PER_MB = float(1024 * 1024)
@@ -43,6 +44,7 @@ def validate_bytes(objects: DataFrame) -> DataFrame:
         is_truncated(content, image_format(content)).alias("_truncated"),
         has_exif_marker(content).alias("_exif_marker"),
         has_exif_chunk(content).alias("_exif_chunk"),
+        F.when(image_format(content) == "JPEG", jpeg_facts(content)).alias("_jpeg"),
     )
     found = ends.withColumn("_fmt", image_format(F.col("_head")))
     head, fmt = F.col("_head"), F.col("_fmt")
@@ -52,9 +54,12 @@ def validate_bytes(objects: DataFrame) -> DataFrame:
             "size_bytes",
             fmt,
             image_error(F.col("_truncated"), fmt).alias("error"),
-            header_width(head, fmt).alias("width"),
-            header_height(head, fmt).alias("height"),
-            F.when(fmt == "PNG", F.col("_exif_chunk")).otherwise(F.col("_exif_marker")).alias("_exif"),
+            F.coalesce("_jpeg.width", header_width(head, fmt)).alias("width"),
+            F.coalesce("_jpeg.height", header_height(head, fmt)).alias("height"),
+            F.when(fmt == "PNG", F.col("_exif_chunk"))
+            .when(fmt == "JPEG", F.col("_jpeg.exif"))
+            .otherwise(F.col("_exif_marker"))
+            .alias("_exif"),
         )
     )
 

@@ -155,3 +155,14 @@ def test_content_hash_of_many_records(spark):
     rows = spark.range(1000).select(F.lit("k").alias("key"), F.lit(1).alias("size"))
     one = int(rows.limit(1).agg(keyed.content_hash(F.col("key"), F.col("size"))).first()[0], 16)
     assert int(rows.agg(keyed.content_hash(F.col("key"), F.col("size"))).first()[0], 16) == 1000 * one
+
+
+def test_jpeg_size_and_exif_are_read_from_segments(spark, tmp_path):
+    jpeg = jvm_image(spark, tmp_path, "jpg", 6, 9)
+    exif = b"\xff\xe1\x00\x10Exif\0\0" + b"\0" * 8
+    files = {"a.jpg": jpeg, "b.jpg": jpeg[:2] + exif + jpeg[2:], "c.jpg": jpeg[:-2] + b"Exif\0\0" + jpeg[-2:]}
+    root = put(tmp_path / "in", files)
+    got = incremental.incremental_scan(spark, root, str(tmp_path / "o"), str(tmp_path / "m")).collect()
+    assert {r["key"]: (r["width"], r["height"], r["exif_present"]) for r in got} == {
+        "a.jpg": (9, 6, False), "b.jpg": (9, 6, True), "c.jpg": (9, 6, False),
+    }
