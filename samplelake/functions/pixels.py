@@ -8,6 +8,7 @@ optimizer repeating an earlier step inside a later one's lambda.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -213,6 +214,111 @@ def vignetting(img: Column, strength: float, levels: bool) -> Column:
     return let(img, shaded)
 
 
+def _each(im: Column, value: Callable[[Column, Column, Column], Column]) -> Column:
+    """Pixels of ``value(y, x, channel)`` over an image of the same size."""
+    w, c = im["w"], im["c"]
+
+    def at(i: Column) -> Column:
+        cell = F.floor(i / c)
+        return value(F.floor(cell / w).cast("int"), (cell % w).cast("int"), i % c)
+
+    return F.transform(F.sequence(F.lit(0), im["h"] * w * c - 1), at)
+
+
+def rotate(img: Column, degrees: float, levels: bool) -> Column:
+    """A clockwise turn about the centre, on levels, by four neighbours; zero outside the image."""
+    angle = math.radians(degrees % 360.0)
+    cos, sin = F.lit(round(math.cos(angle), 15)), F.lit(round(math.sin(angle), 15))
+
+    def turned(im: Column) -> Column:
+        h, w, c = im["h"], im["w"], im["c"]
+
+        def value(y: Column, x: Column, ch: Column) -> Column:
+            dy, dx = y + 0.5 - h / 2.0, x + 0.5 - w / 2.0
+            place = F.struct((cos * dx + sin * dy + w / 2.0).alias("x"), (cos * dy - sin * dx + h / 2.0).alias("y"))
+
+            def seen(p: Column) -> Column:
+                inside = (p["x"] >= 0) & (p["x"] < w) & (p["y"] >= 0) & (p["y"] < h)
+                sx, sy = p["x"] - 0.5, p["y"] - 0.5
+                x0, y0 = F.floor(sx).cast("int"), F.floor(sy).cast("int")
+
+                def near(b: int, a: int) -> Column:
+                    row = F.least(h - 1, F.greatest(F.lit(0), y0 + b))
+                    column = F.least(w - 1, F.greatest(F.lit(0), x0 + a))
+                    return F.get(im["px"], (row * w + column) * c + ch).cast("double")
+
+                top = near(0, 0) + (near(0, 1) - near(0, 0)) * (sx - x0)
+                low = near(1, 0) + (near(1, 1) - near(1, 0)) * (sx - x0)
+                return F.when(inside, F.floor(top + (low - top) * (sy - y0)).cast("float")).otherwise(F.lit(0.0))
+
+            return let(place, seen).cast("float")
+
+        return _same_size(im, _each(im, value))
+
+    out = let(to_levels(img, levels), turned)
+    if levels:
+        return out
+    scale = F.lit(255.0).cast("float")
+    return let(out, lambda im: _same_size(im, F.transform(im["px"], lambda x: (x / scale).cast("float"))))
+
+
+def lens_distortion(img: Column, k: float, levels: bool) -> Column:
+    """Radial distortion by four neighbours, reflected at the edges."""
+
+    def bent(im: Column) -> Column:
+        h, w, c = im["h"], im["w"], im["c"]
+        cy, cx = (h - 1) / 2.0, (w - 1) / 2.0
+        half = F.greatest(h, w) * 0.5 + TINY
+
+        def mirrored(i: Column, size: Column) -> Column:
+            wrapped = F.pmod(i, 2 * size)
+            return F.when(wrapped < size, wrapped).otherwise(2 * size - 1 - wrapped)
+
+        def value(y: Column, x: Column, ch: Column) -> Column:
+            dy, dx = y - cy, x - cx
+            r = F.sqrt(dx * dx + dy * dy) / half
+            place = let(
+                F.struct(r.alias("r"), dy.alias("dy"), dx.alias("dx")),
+                lambda d: F.struct(
+                    (cy + d["dy"] * (F.lit(1.0) + F.lit(float(k)) * d["r"] * d["r"])).alias("y"),
+                    (cx + d["dx"] * (F.lit(1.0) + F.lit(float(k)) * d["r"] * d["r"])).alias("x"),
+                ),
+            )
+
+            def seen(p: Column) -> Column:
+                x0, y0 = F.floor(p["x"]).cast("int"), F.floor(p["y"]).cast("int")
+                fx, fy = p["x"] - x0, p["y"] - y0
+
+                def near(b: int, a: int) -> Column:
+                    at = (mirrored(y0 + b, h) * w + mirrored(x0 + a, w)) * c + ch
+                    x = F.get(im["px"], at).cast("double")
+                    return x / 255.0 if levels else x
+
+                total = near(0, 0) * (1 - fy) * (1 - fx) + near(0, 1) * (1 - fy) * fx
+                total = total + near(1, 0) * fy * (1 - fx) + near(1, 1) * fy * fx
+                return _back(_clip(total, 0.0, 1.0), levels)
+
+            return let(place, seen)
+
+        return _same_size(im, _each(im, value))
+
+    return let(img, bent)
+
+
+def gaussian_noise(img: Column, std: float, key: Column, seed: int, step: str, levels: bool) -> Column:
+    """Normal noise of two draws per value, which depend on seed, step, key and place alone."""
+
+    def noisy(im: Column, base: Column) -> Column:
+        def value(x: Column, i: Column) -> Column:
+            u1, u2 = uniform(base, i * 2), uniform(base, i * 2 + 1)
+            normal = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
+            return _back(_clip(_unit(x, levels) + F.lit(float(std)) * normal, 0.0, 1.0), levels)
+
+        return _same_size(im, F.transform(im["px"], value))
+
+    return let(img, lambda im: let(draw_base(seed, step, key), lambda b: noisy(im, b)))
+
+
 def to_levels(img: Column, levels: bool) -> Column:
     """To 0..255 by truncation; floats are multiplied in single precision."""
     if levels:

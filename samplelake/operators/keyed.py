@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samplelake.operators.joins import join_split
+from samplelake.operators.joins import fits_broadcast, join_split
+from samplelake.staging import stage
 
 
 def range_layout(dataset: DataFrame) -> DataFrame:
@@ -21,12 +22,16 @@ def lookup_one(dataset: DataFrame, index: int) -> DataFrame:
 def lookup_batch(requests: DataFrame, dataset: DataFrame) -> DataFrame:
     """Every request with its record; null columns where the index is missing.
 
-    Only the distinct requested indices meet the dataset.  The records found are
-    then given back to the requests; an index asked for very often is split.
+    The dataset is cut to the range of the requested indices, which reaches its row
+    groups, and few enough indices are copied to it, so that only the records found
+    are moved.  They are then given back to the requests; an index asked for very
+    often is split.
     """
-    wanted = requests.select("idx").distinct()
-    hits = dataset.join(wanted, "idx", "left_semi")
-    return join_split(requests, hits, ["idx"], "left")
+    wanted = stage(requests.select("idx").filter(F.col("idx").isNotNull()).distinct(), "wanted")
+    ends = wanted.agg(F.min("idx").alias("low"), F.max("idx").alias("high")).first()
+    near = dataset.filter(F.col("idx").between(ends["low"], ends["high"]) if ends["low"] is not None else F.lit(False))
+    few = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
+    return join_split(requests, near.join(few, "idx", "left_semi"), ["idx"], "left")
 
 
 def missing_keys(requests: DataFrame, dataset: DataFrame) -> DataFrame:

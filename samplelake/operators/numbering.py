@@ -72,7 +72,7 @@ def number_within(
 
 
 def first_per_group(df: DataFrame, group: list[str], order: list[Column | str], n: int) -> DataFrame:
-    """The first ``n`` rows of every group.
+    """The first ``n`` rows of every group, in an ``order`` that must be unique inside each.
 
     For a small ``n`` the rank filter is pushed below the shuffle, so at most ``n``
     rows of a group leave each task.  For a large one, groups are ranked across

@@ -93,12 +93,12 @@ class Augment(Step):
         return out
 
     def column(self, img, key, name, levels):
-        if self.rotate_deg:
-            return None
         if self.flip_h:
             img = pixels.flip_h(img)
         if self.flip_v:
             img = pixels.flip_v(img)
+        if self.rotate_deg % 360:
+            img = pixels.rotate(img, self.rotate_deg, levels)
         if self.color_jitter:
             img = pixels.color_jitter(img, self.color_jitter, key, self.seed, name, levels)
         return img
@@ -114,6 +114,13 @@ class CameraNoise(Step):
     def calls(self, name):
         return [("camera_noise", {**vars(self), "step": name})]
 
+    def column(self, img, key, name, levels):
+        if self.poisson_scale:
+            return None
+        if self.gaussian_std <= 0:
+            return img
+        return pixels.gaussian_noise(img, self.gaussian_std, key, self.seed, name, levels)
+
 
 @dataclass(frozen=True)
 class LensDistortion(Step):
@@ -122,6 +129,9 @@ class LensDistortion(Step):
     def calls(self, name):
         return [("lens_distortion", vars(self).copy())]
 
+    def column(self, img, key, name, levels):
+        return pixels.lens_distortion(img, self.k, levels)
+
 
 @dataclass(frozen=True)
 class Vignetting(Step):

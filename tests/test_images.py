@@ -134,6 +134,12 @@ TWINS = [
     ([st.ToLevels()], False),
     ([st.TrainView(size=4, resize=None, seed=2)], True),
     ([st.Vignetting(0.3), st.Augment(flip_h=True), st.Normalize(), st.ToLevels()], True),
+    ([st.Augment(rotate_deg=30)], True),
+    ([st.Augment(rotate_deg=90, flip_h=True)], False),
+    ([st.LensDistortion(-0.2)], True),
+    ([st.LensDistortion(0.3)], False),
+    ([st.CameraNoise(0.05, None, seed=3)], True),
+    ([st.CameraNoise(0.05, None, seed=3)], False),
 ]
 
 
@@ -153,12 +159,13 @@ def test_column_and_kernel_agree(spark, chain, as_levels):
         assert np.mean(np.abs(a - b) > 1e-6) < 0.01
 
 
-def test_a_geometry_step_makes_one_python_stage(spark):
+def test_a_resampling_step_makes_one_python_stage(spark):
     df = image_table(spark, [levels((6, 9, 3))])
-    mixed = st.transform_images(df, [st.Vignetting(), st.LensDistortion(), st.Normalize()], levels=True)
+    mixed = st.transform_images(df, [st.Vignetting(), st.Resize((4, 4)), st.Normalize()], levels=True)
     plan = mixed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
-    plain = st.transform_images(df, [st.Vignetting(), st.Normalize()], levels=True)
+    chain = [st.Vignetting(), st.LensDistortion(), st.Augment(rotate_deg=30), st.CameraNoise(0.1, None), st.Normalize()]
+    plain = st.transform_images(df, chain, levels=True)
     assert "Python" not in plain._jdf.queryExecution().executedPlan().toString()
 
 

@@ -166,3 +166,15 @@ def test_jpeg_size_and_exif_are_read_from_segments(spark, tmp_path):
     assert {r["key"]: (r["width"], r["height"], r["exif_present"]) for r in got} == {
         "a.jpg": (9, 6, False), "b.jpg": (9, 6, True), "c.jpg": (9, 6, False),
     }
+
+
+def test_batch_lookup_reads_a_range_and_moves_no_images(spark, tmp_path):
+    spark.range(5000).selectExpr("id AS idx", "cast(repeat('x', 50) AS binary) AS image").write.parquet(str(tmp_path / "d"))
+    data = spark.read.parquet(str(tmp_path / "d"))
+    from samplelake.operators.keyed import lookup_batch
+
+    found = lookup_batch(spark.createDataFrame([(7,), (9,), (9,), (6000,), (None,)], "idx long"), data)
+    got = [(r["idx"], r["image"] is not None) for r in found.collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, [(7, True), (9, True), (9, True), (6000, False), (None, False)]))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(idx,7)" in plan and "LeftSemi, BuildRight" in plan
