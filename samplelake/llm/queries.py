@@ -83,4 +83,5 @@ SQL: dict[str, str] = {
     "op2_url_filter": urls.sql(),
     "op3_license_scan": licenses.sql(),
     "op9_quality": quality.sql(),
+    "op10_secrets": secrets.sql(),
 }

@@ -263,3 +263,70 @@ def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> Data
         kind = docs.schema[at].dataType
         changed[f"_c{at}"] = F.when(F.col("text") != F.col("before"), F.length("text").cast(kind)).otherwise(F.col(f"_c{at}"))
     return back(out.withColumns(changed))
+
+
+def sql() -> str:
+    def quoted(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    def matched(kind: int, pattern: str, group: int) -> str:
+        p = quoted(pattern)
+        return f"""SELECT doc_id, {kind} AS kind, regexp_extract_all(t, {p}) AS m, regexp_extract_all(t, {p}, {group}) AS g,
+        string_split_regex(t, {p}) AS gaps FROM d WHERE regexp_matches(t, {p})"""
+
+    size = len(ALPHABET)
+    names = "['" + "', '".join(KINDS) + "'][kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind, stop"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), found AS (
+    {matched(0, ASSIGN, 2)} UNION ALL {matched(1, ACCESS, 0)} UNION ALL {matched(2, HEX, 0)} UNION ALL {matched(3, TOKEN, 0)}
+), places AS (
+    SELECT doc_id, kind, m[i] AS m, g[i] AS g, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+        + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+    FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM found)
+), base AS (
+    SELECT doc_id, kind, start, start + length(m) AS stop, g FROM places
+    WHERE kind < 3 AND length(g) >= [{LEAST_ASSIGN}, {LEAST_ACCESS}, 16][kind + 1]
+), tokens AS (
+    SELECT doc_id, start, m FROM places WHERE kind = 3
+), samples AS (
+    SELECT 1 AS random, g AS s FROM base
+    UNION ALL SELECT 0, m FROM tokens t WHERE NOT EXISTS (FROM base b WHERE b.doc_id = t.doc_id AND contains(t.m, b.g))
+), letters AS (
+    SELECT random, '^' || regexp_replace(s, '[^A-Za-z0-9+/_=-]', '', 'g') AS s FROM samples
+), pairs AS (
+    SELECT random, a, b, count(*) AS n
+    FROM (SELECT random, s[i] AS a, s[i + 1] AS b FROM (SELECT *, unnest(range(1, length(s))) AS i FROM letters)) GROUP BY ALL
+), every AS (
+    SELECT random, a, b, s FROM (VALUES (0), (1)) r(random),
+        (SELECT DISTINCT s[i] AS a, s[i + 1] AS b, s[i : i + 1] AS s FROM
+            (SELECT '^' || m AS s, unnest(range(1, length(m) + 1)) AS i FROM tokens))
+), share AS (
+    SELECT random, b, (1 + coalesce(n, 0)) / ({size} + coalesce(total, 0)) AS share
+    FROM (SELECT DISTINCT random, b FROM every) LEFT JOIN (SELECT random, b, sum(n) AS n FROM pairs GROUP BY ALL) USING (random, b)
+        LEFT JOIN (SELECT random, sum(n) AS total FROM pairs GROUP BY ALL) USING (random)
+), logs AS (
+    SELECT random, a, b, ln((coalesce(n, 0) + {LEAN} * share) / (coalesce(n_a, 0) + {LEAN})) AS l
+    FROM every JOIN share USING (random, b) LEFT JOIN pairs USING (random, a, b)
+        LEFT JOIN (SELECT random, a, sum(n) AS n_a FROM pairs GROUP BY ALL) USING (random, a)
+), ratios AS (
+    SELECT a, b, sum(CASE WHEN random = 1 THEN l ELSE -l END) AS r FROM logs GROUP BY a, b
+), judged AS (
+    SELECT doc_id, start, m, sum(r) AS r
+    FROM (SELECT doc_id, start, m, s[i] AS a, s[i + 1] AS b FROM
+            (SELECT *, '^' || m AS s, unnest(range(1, length(m) + 1)) AS i FROM tokens)) JOIN ratios USING (a, b)
+    GROUP BY doc_id, start, m
+), added AS (
+    SELECT doc_id, 3 AS kind, start, start + length(m) AS stop FROM judged j
+    WHERE r >= {LEAST_RATIO} AND r >= {LEAST_MEAN_RATIO} * length(m)
+        AND NOT EXISTS (FROM base b WHERE b.doc_id = j.doc_id AND b.g = j.m)
+), spans AS (
+    SELECT doc_id, kind, start, stop FROM base UNION ALL SELECT * FROM added
+), told AS (
+    SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+        count(*) FILTER (kind = 3) AS n_markov, string_agg({names}) FILTER (kind < 3) AS base, string_agg({names}) AS spans
+    FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    coalesce(n_markov, 0) AS n_markov, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN told USING (doc_id)
+"""
