@@ -6,6 +6,7 @@ import re
 import uuid
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 # How names of files begin that are being written; listings pass over these and nothing else.
 UNFINISHED = "_samplelake_unfinished-"
@@ -22,6 +23,14 @@ def split_path(path: str) -> tuple[str, str, str]:
     return scheme, authority or "", inner or "/"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme Spark's own readers would give it; call it on the driver."""
+    if _URI.match(path):
+        return path
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(named).toString()
+
+
 class Files:
     """Filesystems opened by one task, by scheme and authority."""
 

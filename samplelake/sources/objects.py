@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from samplelake.functions.paths import IMAGE_EXTENSIONS
 from samplelake.operators.listing import filter_objects
-from samplelake.sources.files import UNFINISHED, Files, split_path
+from samplelake.sources.files import UNFINISHED, Files, qualified, split_path
 from samplelake.staging import stage
 
 FETCH_BYTES = 16 << 20
@@ -77,6 +77,7 @@ def list_objects(spark: SparkSession, root: str, extensions: Iterable[str] | Non
     table, so that its users do not walk the store again.
     """
     schema = "path string, size_bytes long, folder boolean"
+    root = qualified(spark, root)
     tasks = min(LISTING_TASKS, spark.sparkContext.defaultParallelism)
     top = spark.range(0, 1, 1, 1).select(F.lit(root).alias("path"))
     first = stage(top.mapInArrow(_walker(2 * tasks), schema), "folders")
@@ -145,7 +146,7 @@ def copy_objects(listing: DataFrame, root: str) -> DataFrame:
 
 def write_objects(rows: DataFrame, root: str, key: str = "key", content: str = "content") -> DataFrame:
     """Write each row's bytes below ``root``; gives ``key, size_bytes`` of what was written."""
-    base = root.rstrip("/")
+    base = qualified(rows.sparkSession, root).rstrip("/")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = Files()

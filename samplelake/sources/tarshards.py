@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from samplelake.functions.paths import file_name
 from samplelake.functions.values import class_to_bytes
 from samplelake.operators.listing import filter_objects
-from samplelake.sources.files import Files
+from samplelake.sources.files import Files, qualified
 from samplelake.sources.objects import FETCH_BYTES, TASK_BYTES, list_objects, tasks_for
 from samplelake.staging import stage
 
@@ -215,7 +215,7 @@ def write_placed_shards(rows: DataFrame, root: str) -> DataFrame:
     Gives ``shard, samples, size_bytes, skipped`` of every shard: the places of the
     samples left out, and no tar where that is all of them.
     """
-    base = root.rstrip("/")
+    base = qualified(rows.sparkSession, root).rstrip("/")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, receipts = Files(), []

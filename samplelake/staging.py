@@ -14,7 +14,7 @@ import uuid
 from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession
 
-from samplelake.sources.files import Files
+from samplelake.sources.files import Files, qualified
 
 SETTING = "spark.checkpoint.dir"
 
@@ -38,7 +38,7 @@ def staging_path(spark: SparkSession, label: str) -> str:
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application has staged; DataFrames that read it end with it."""
-    system, folder = Files().at(staging_path(spark, "x").rsplit("/", 1)[0])
+    system, folder = Files().at(qualified(spark, staging_path(spark, "x").rsplit("/", 1)[0]))
     if system.get_file_info(folder).type != FileType.NotFound:
         system.delete_dir(folder)
 
