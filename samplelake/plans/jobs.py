@@ -143,9 +143,7 @@ def shard_dataset(
     tables.write_manifest(manifest, out)
     rows = numbered.select("shard", "sample_idx", F.col("__key__").alias("key"), "cls_idx", "path")
     shards = numbered.select("shard").distinct().count()
-    fetched = objects.fetch_content(tarshards.place_by_shard(rows, shards))
-    members = tarshards.sample_members(F.col("content"), F.col("cls_idx"))
-    tarshards.write_placed_shards(fetched.withColumn("members", members), out)
+    tarshards.write_files_as_shards(tarshards.place_by_shard(rows, shards), out)
     return manifest
 
 

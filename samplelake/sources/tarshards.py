@@ -206,62 +206,90 @@ def place_by_shard(rows: DataFrame, n_shards: int, order: str = "shard") -> Data
     return rows.repartitionByRange(n, order).sortWithinPartitions(order, "sample_idx")
 
 
+RECEIPTS = "shard string, samples long, size_bytes long, skipped array<long>"
+
+
+class _Tars:
+    """The tars one task writes, one at a time: under a temporary name, renamed when complete."""
+
+    def __init__(self, base: str):
+        self.base, self.files, self.receipts = base, Files(), []
+        self.shard = self.tar = None
+
+    def add(self, shard: str, place: int, key: str, members: list[tuple[str, bytes]] | None) -> None:
+        if shard != self.shard:
+            self.close()
+            self.shard, self.tar, self.count, self.skipped = shard, None, 0, []
+        if members is None:
+            self.skipped.append(place)
+            return
+        if self.tar is None:
+            self.out, self.part = self.files.start(f"{self.base}/{shard}")
+            self.tar = tarfile.open(fileobj=self.out, mode="w|", format=tarfile.PAX_FORMAT)
+        for ext, data in members:
+            info = tarfile.TarInfo(f"{key.replace('.', '_')}.{ext}")
+            info.size = len(data)
+            self.tar.addfile(info, io.BytesIO(data))
+        self.count += 1
+
+    def close(self) -> None:
+        if self.shard is None:
+            return
+        size = 0
+        if self.tar is not None:
+            self.tar.close()
+            size = self.out.tell()
+            self.out.close()
+            self.files.finish(f"{self.base}/{self.shard}", self.part)
+        self.receipts.append((self.shard, self.count, size, self.skipped))
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        self.close()
+        if self.receipts:
+            shards, samples, sizes, left = zip(*self.receipts)
+            columns = [pa.array(shards), pa.array(samples), pa.array(sizes), pa.array(left, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "samples", "size_bytes", "skipped"])
+
+
 def write_placed_shards(rows: DataFrame, root: str) -> DataFrame:
     """Write one tar per shard from rows already placed by :func:`place_by_shard`.
 
     Rows have ``shard, sample_idx, key, members``.  A task writes one tar at a time,
-    sample by sample, under a temporary name and renames it when complete, so a
-    repeated task leaves the same file.  A sample without members is not written.
-    Gives ``shard, samples, size_bytes, skipped`` of every shard: the places of the
-    samples left out, and no tar where that is all of them.
+    sample by sample, so a repeated task leaves the same file.  A sample without members
+    is not written.  Gives ``shard, samples, size_bytes, skipped`` of every shard: the
+    places of the samples left out, and no tar where that is all of them.
     """
     base = qualified(rows.sparkSession, root).rstrip("/")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, receipts = Files(), []
-        current = tar = out = part = None
-        count, skipped = 0, []
-
-        def close():
-            size = 0
-            if tar is not None:
-                tar.close()
-                size = out.tell()
-                out.close()
-                files.finish(f"{base}/{current}", part)
-            receipts.append((current, count, size, skipped))
-
+        tars = _Tars(base)
         for batch in batches:
-            shards, places, keys, members = (batch.column(i) for i in range(4))
-            for row in range(batch.num_rows):
-                shard = shards[row].as_py()
-                if shard != current:
-                    if current is not None:
-                        close()
-                    current, count, tar, skipped = shard, 0, None, []
-                if not members[row].is_valid:
-                    skipped.append(places[row].as_py())
-                    continue
-                if tar is None:
-                    out, part = files.start(f"{base}/{shard}")
-                    tar = tarfile.open(fileobj=out, mode="w|", format=tarfile.PAX_FORMAT)
-                key = keys[row].as_py().replace(".", "_")
-                for ext, data in members[row].as_py():
-                    info = tarfile.TarInfo(f"{key}.{ext}")
-                    info.size = len(data)
-                    tar.addfile(info, io.BytesIO(data))
-                count += 1
-        if current is not None:
-            close()
-        if receipts:
-            shards, samples, sizes, left = zip(*receipts)
-            columns = [pa.array(shards), pa.array(samples), pa.array(sizes), pa.array(left, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["shard", "samples", "size_bytes", "skipped"])
+            for shard, place, key, members in zip(*[batch.column(i) for i in range(4)]):
+                tars.add(shard.as_py(), place.as_py(), key.as_py(), members.as_py())
+        yield from tars.batches()
 
-    written = rows.select("shard", F.col("sample_idx").cast("long"), "key", "members").mapInArrow(
-        write, "shard string, samples long, size_bytes long, skipped array<long>"
-    )
-    return stage(written, "shards")
+    narrow = rows.select("shard", F.col("sample_idx").cast("long"), "key", "members")
+    return stage(narrow.mapInArrow(write, RECEIPTS), "shards")
+
+
+def write_files_as_shards(rows: DataFrame, root: str, ext: str = "jpg") -> DataFrame:
+    """As :func:`write_placed_shards`, from placed rows ``shard, sample_idx, key, path, cls_idx``.
+
+    The task that writes a tar reads its files, so no image bytes pass through the JVM.
+    """
+    base = qualified(rows.sparkSession, root).rstrip("/")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tars = _Tars(base)
+        for batch in batches:
+            for shard, place, key, path, cls in zip(*[batch.column(i).to_pylist() for i in range(5)]):
+                members = [(ext, tars.files.read(path))]
+                tars.add(shard, place, key, members if cls is None else [*members, ("cls", cls)])
+        yield from tars.batches()
+
+    coded = F.when(F.col("cls_idx").isNotNull(), class_to_bytes(F.col("cls_idx"))).alias("cls")
+    narrow = rows.select("shard", F.col("sample_idx").cast("long"), "key", "path", coded)
+    return stage(narrow.mapInArrow(write, RECEIPTS), "shards")
 
 
 def write_shards(rows: DataFrame, root: str, n_shards: int | None = None) -> DataFrame:
