@@ -17,6 +17,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,6 +30,8 @@ MARK = "▁"
 NORMAL, BYTE = 1, 6
 # Words whose ids a task remembers; when full it starts anew.
 REMEMBERED = 500_000
+# Texts whose words make one trie: the more of them, the longer the prefixes they share.
+TRIE_TEXTS = 4096
 
 
 @dataclass
@@ -39,11 +42,17 @@ class Model:
     ids: dict[str, int]  # normal pieces
     rank: dict[int, float]  # lower merges first
     bytes_: list[int]  # id of each byte
+    lengths: list[int]  # characters of each piece
     longest: int
     parts: dict[int, tuple[int, int]]  # the two pieces that merge to a piece, where they do
-    lone: re.Pattern  # characters no piece of several characters holds
-    words: re.Pattern  # runs no piece reaches out of: a mark starts one, and so does a sign that never ends a piece's letters
-    sizes: dict[str, tuple[int, ...]]  # by up to three last characters: sizes of pieces that end so, longest first
+    words: re.Pattern  # runs no piece reaches out of: from a mark, or from a sign that never follows letters in a piece
+    # The search for pieces that end at a place, as a machine over characters: the node a
+    # character leads to, the node to fall back to, the longest piece ending at a node, and
+    # the next shorter piece that a piece ends with.
+    steps: dict[int, int]
+    falls: list[int]
+    ending: list[int]
+    shorter: list[int]
 
 
 def read_model(path: str = MODEL) -> Model:
@@ -69,7 +78,6 @@ def read_model(path: str = MODEL) -> Model:
             if two:
                 parts[i] = two
     joined = {c for p in ids if len(p) > 1 for c in p}
-    lone = re.compile("([^" + re.escape("".join(sorted(joined))) + "])")
     pairs = {pair for p in ids for pair in zip(p, p[1:])}
     if any(b == MARK and a != MARK for a, b in pairs):
         raise ValueError("pieces must hold marks at their start only")
@@ -77,21 +85,49 @@ def read_model(path: str = MODEL) -> Model:
     while reached := {b for a, b in pairs if b in signs and a not in signs and a != MARK}:
         signs -= reached
     sign = re.escape("".join(sorted(signs)))
-    words = re.compile(f"{MARK}[{sign}]*[^{MARK}{sign}]*|[{sign}]+[^{MARK}{sign}]*|[^{MARK}{sign}]+")
-    usable = [p for p, i in ids.items() if len(p) == 1 or i in parts]
-    return Model(pieces, ids, rank, byte_ids, max(map(len, ids)), parts, lone, words, _sizes_by_end(usable))
-
-
-def _sizes_by_end(pieces: list[str]) -> dict[str, tuple[int, ...]]:
-    ends = {p[-n:] for p in pieces for n in (1, 2, 3) if len(p) >= n}
-    sizes: dict[str, set[int]] = {end: set() for end in ends}
-    for piece in pieces:
-        if len(piece) >= 3:
-            sizes[piece[-3:]].add(len(piece))
-    short = {p for p in pieces if len(p) < 3}
-    for end, found in sizes.items():
-        found.update(n for n in (1, 2) if end[-n:] in short)
-    return {end: tuple(sorted(found, reverse=True)) for end, found in sizes.items()}
+    others = re.escape("".join(sorted(joined - signs - {MARK})))
+    # A character that no piece of several characters holds stands by itself.
+    words = re.compile(f"(?s){MARK}[{sign}]*[{others}]*|[{sign}]+[{others}]*|[{others}]+|.")
+    usable = [i for p, i in ids.items() if len(p) == 1 or i in parts]
+    lengths = [len(p) for p in pieces]
+    return Model(pieces, ids, rank, byte_ids, lengths, max(map(len, ids)), parts, words, *_machine(pieces, usable))
+
+
+def _step(node: int, character: str) -> int:
+    return node << 21 | ord(character)
+
+
+def _machine(pieces: list[str], usable: list[int]) -> tuple[dict[int, int], list[int], list[int], list[int]]:
+    """Aho-Corasick tables of the usable pieces, by breadth; -1 stands for no piece."""
+    steps: dict[int, int] = {}
+    falls, own, above, by_depth = [0], [-1], [(0, "")], [[0]]
+    for i in usable:
+        node = 0
+        for depth, c in enumerate(pieces[i], 1):
+            below = steps.get(_step(node, c))
+            if below is None:
+                below = steps[_step(node, c)] = len(falls)
+                falls.append(0)
+                own.append(-1)
+                above.append((node, c))
+                by_depth.extend([] for _ in range(depth + 1 - len(by_depth)))
+                by_depth[depth].append(below)
+            node = below
+        own[node] = i
+    ending, shorter = list(own), [-1] * len(pieces)
+    for node in (n for level in by_depth[1:] for n in level):
+        parent, c = above[node]
+        if parent:
+            at = falls[parent]
+            while at and _step(at, c) not in steps:
+                at = falls[at]
+            falls[node] = steps.get(_step(at, c), 0)
+        below = ending[falls[node]]
+        if own[node] < 0:
+            ending[node] = below
+        else:
+            shorter[own[node]] = below
+    return steps, falls, ending, shorter
 
 
 def _last_merge(piece: str, ids: dict[str, int], rank: dict[int, float]) -> tuple[int, int] | None:
@@ -144,40 +180,39 @@ class Encoder:
                         return False
         return True
 
-    def states(self, word: str, from_: int, last: list[int]) -> None:
+    def states(self, word: str, from_: int, last: list[int], nodes: list[int]) -> None:
         """Extend ``last``, the last piece of the path to each place, from place ``from_`` on.
 
-        -1 stands for a character that goes to bytes.
+        -1 stands for a character that goes to bytes.  ``nodes`` are the machine's.
         """
-        ids, sizes, apart = self.model.ids, self.model.sizes, self._apart
-        del last[from_ + 1 :]
+        m, apart = self.model, self._apart
+        steps, falls, ending, shorter, lengths = m.steps, m.falls, m.ending, m.shorter, m.lengths
+        del last[from_ + 1 :], nodes[from_ + 1 :]
+        node = nodes[from_]
         for end in range(from_ + 1, len(word) + 1):
-            tail = word[end - 3 if end > 3 else 0 : end]
-            known = sizes.get(tail)
-            if known is None:  # no piece ends so, but one may end as its last two or one do
-                known = sizes[tail] = sizes.get(tail[-2:]) or sizes.get(tail[-1:], ())
-            found = -1
-            for size in known:
-                if size > end:
-                    continue
-                piece = ids.get(word[end - size : end])
-                if piece is None:
-                    continue
-                before = last[end - size]
+            code = ord(word[end - 1])
+            after = steps.get(node << 21 | code)
+            while after is None and node:
+                node = falls[node]
+                after = steps.get(node << 21 | code)
+            node = after or 0
+            nodes.append(node)
+            piece = ending[node]
+            while piece >= 0:
+                before = last[end - lengths[piece]]
                 if before < 0:  # a text's start, or bytes, which never merge
-                    found = piece
                     break
                 pair = before, piece
                 ok = apart.get(pair)
                 if ok is None:
                     ok = apart[pair] = self.stays_apart(before, piece)
                 if ok:
-                    found = piece
                     break
-            last.append(found)
+                piece = shorter[piece]
+            last.append(piece)
 
     def _path(self, word: str, last: list[int]) -> tuple[int, ...]:
-        pieces, out, at = self.model.pieces, [], len(word)
+        lengths, out, at = self.model.lengths, [], len(word)
         while at:
             piece = last[at]
             if piece < 0:
@@ -185,19 +220,20 @@ class Encoder:
                 at -= 1
             else:
                 out.append(piece)
-                at -= len(pieces[piece])
+                at -= lengths[piece]
         return tuple(reversed(out))
 
     def learn(self, words: set[str]) -> None:
         """Remember the ids of words, walking them in the order of their trie."""
         if len(self._words) > REMEMBERED:
             self._words.clear()
-        last, before = [-1], ""
+        last, nodes, before = [-1], [0], ""
         for word in sorted(words.difference(self._words)):
             shared, most = 0, min(len(before), len(word))
-            while shared < most and before[shared] == word[shared]:
-                shared += 1
-            self.states(word, shared, last)
+            while shared < most:
+                half = (shared + most + 1) // 2
+                shared, most = (half, most) if before[:half] == word[:half] else (shared, half - 1)
+            self.states(word, shared, last, nodes)
             self._words[word] = self._path(word, last)
             before = word
 
@@ -205,24 +241,20 @@ class Encoder:
         """Ids of whole texts; an empty text has none."""
         cut = [self.cut(t) for t in texts]
         self.learn(set().union(*cut))
-        return [self._joined(words) for words in cut]
+        known = self._words.__getitem__
+        return [
+            self._joined(words) if MARK * 2 in MARK + text.replace(" ", MARK) else list(chain.from_iterable(map(known, words)))
+            for text, words in zip(texts, cut)
+        ]
 
     def cut(self, text: str) -> list[str]:
-        """Marked words: a text's spaces are marks, and lone characters stand by themselves."""
-        if not text:
-            return []
-        marked = MARK + text.replace(" ", MARK)
-        out = []
-        for part in self.model.lone.split(marked):
-            if len(part) > 1:
-                out += self.model.words.findall(part)
-            elif part:
-                out.append(part)
-        return out
+        """Marked words: a text's spaces are marks."""
+        return self.model.words.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def _joined(self, words: list[str]) -> list[int]:
+        """Ids of a text with marks in a row: those no letter has taken up join among themselves."""
         known, mark, ids = self._words, self.model.ids[MARK], []
-        run = 0  # marks that no letter has taken up
+        run = 0
         for word in words:
             found = known[word]
             if word[0] == MARK and found[0] == mark:
@@ -271,7 +303,7 @@ def encoded(docs: DataFrame, path: str = MODEL, text: str = "text", drop: tuple[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**shared.value)
         encoder, added = Encoder(model), bytes_of(model)
-        for part in slices(batches):
+        for part in slices(batches, TRIE_TEXTS):
             texts = part.column(text).to_pylist()
             ids = iter(encoder.encode([t for t in texts if t is not None]))
             found = [None if t is None else next(ids) for t in texts]
