@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from samplelake.llm.common import extended, held_out, keyed, schema_of, slices, take
 
 # The labelled sample: so many texts a language, so many characters of each, in so many dictionaries.
-SAMPLE_TEXTS, SAMPLE_CHARS, DICTIONARIES = 1000, 500, 4
+SAMPLE_TEXTS, SAMPLE_CHARS, DICTIONARIES = 1008, 500, 4
+# The sample is the first texts of so many hash buckets each, so that no task ranks a whole language.
+SAMPLE_BUCKETS = 16
 DICTIONARY_BYTES = 110_000
 LEVEL = 6
 PIECE_BYTES, SHORT_BYTES, REPEATED_BYTES = 8192, 512, 256
@@ -41,14 +43,16 @@ def letters(text: str) -> str:
 def learn(docs: DataFrame) -> Learned:
     """Dictionaries from ``text, lang`` of labelled rows, without null or letterless texts.
 
-    The sample is the texts with the smallest hashes, each distinct text once, so a
-    large group of copies counts as one; it is bounded by the constants above for each
+    The sample is the texts with the smallest hashes of each bucket, each distinct text
+    once, so a large group of copies counts as one; it is bounded by the constants above for each
     language, and the only rows that come to the driver.
     """
     rows = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("h"))
     chosen = rows.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n"))
-    order = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = chosen.withColumn("place", order).filter(F.col("place") <= SAMPLE_TEXTS).select("lang", "h", "place")
+    bucket = F.pmod("h", F.lit(SAMPLE_BUCKETS))
+    order = F.row_number().over(Window.partitionBy("lang", bucket).orderBy("h"))
+    chosen = chosen.withColumn("rank", order).filter(F.col("rank") <= SAMPLE_TEXTS // SAMPLE_BUCKETS)
+    chosen = chosen.select("lang", "h", (F.col("rank") * SAMPLE_BUCKETS + bucket).alias("place"))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     start = F.pmod("h", F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))) + 1
     pieces = (
