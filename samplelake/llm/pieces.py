@@ -31,7 +31,7 @@ NORMAL, BYTE = 1, 6
 # Words whose ids a task remembers; when full it starts anew.
 REMEMBERED = 500_000
 # Texts whose words make one trie: the more of them, the longer the prefixes they share.
-TRIE_TEXTS = 4096
+TRIE_TEXTS = 1024
 
 
 @dataclass
