@@ -193,14 +193,20 @@ def is_random(token: Column, model: list[float]) -> Column:
     return let(ratio(token, model), lambda r: (r >= LEAST_RATIO) & (r >= LEAST_MEAN_RATIO * F.length(token)))
 
 
-def markov_spans(text: Column, model: list[float]) -> Column:
-    """Spans of tokens the models hold to be random and no pattern has whole."""
-    known = _values(text)
-
-    def keep() -> Column:
-        return let(known, lambda k: F.transform(matches(text, TOKEN), lambda t: is_random(t, model) & ~F.array_contains(k, t)))
+def markov_spans(text: Column, model: list[float], base: Column) -> Column:
+    """Spans of tokens the models hold to be random, without those a pattern has whole at that place."""
+    spans = _spans(text, TOKEN, 3, lambda: F.transform(matches(text, TOKEN), lambda t: is_random(t, model)))
+
+    def elsewhere(b: Column, k: Column) -> Column:
+        return F.filter(
+            spans,
+            lambda s: ~(
+                F.exists(b, lambda x: (x["start"] <= s["start"]) & (s["end"] <= x["end"]))
+                & F.array_contains(k, F.substring(text, s["start"] + 1, s["end"] - s["start"]))
+            ),
+        )
 
-    return _spans(text, TOKEN, 3, keep)
+    return let(base, lambda b: let(_values(text), lambda k: elsewhere(b, k)))
 
 
 def scan(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
@@ -209,7 +215,8 @@ def scan(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
     A null text is empty and has none.  Each row is judged by itself.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumns({"base": base_spans(body), "added": markov_spans(body, model)})
+    found = docs.withColumn("base", base_spans(body))
+    return found.withColumn("added", markov_spans(body, model, F.col("base")))
 
 
 def _told(spans: Column) -> Column:

@@ -478,3 +478,18 @@ def test_markov_tells_random_from_ordinary(spark):
     found = {r["doc_id"]: r for r in secrets.secret_spans(docs_of(spark, rows)).collect()}
     assert found[999]["spans"] == "markov:3:35"
     assert sum(r["n_markov"] for r in found.values()) == 1
+
+
+def test_an_assigned_key_that_stands_bare_again(spark):
+    draw = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+    def noise():
+        return "".join(draw.choice(letters) for _ in range(32))
+
+    rows = [(k, f"secret: {noise()} and theaningeredtionanering end", None) for k in range(300)]
+    key = noise()
+    rows.append((999, f"password: {key} then {key} and {key}", None))
+    found = {r["doc_id"]: r for r in secrets.secret_spans(docs_of(spark, rows)).collect()}
+    assert found[999]["spans"] == "assign:0:42,markov:48:80,markov:85:117"
+    assert sum(r["n_markov"] for r in found.values()) == 2
