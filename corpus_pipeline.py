@@ -6,21 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from samplelake.llm import decontaminate, language, minhash, pieces, secrets
+from samplelake.llm import decontaminate, language, pieces, secrets, simhash
 from samplelake.llm.common import table
-from samplelake.staging import stage
+from samplelake.staging import scope
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told apart; learned from those outside the held-out fold."""
+    """Documents whose language is told apart; learned from those outside the held-out fold.
+
+    Null texts and texts without a letter have no language and go.
+    """
     return language.with_language(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts, linked where five-word shingles have a similarity of 0.8 or more."""
-    return minhash.one_of_each_group(docs)
+    """One document of each SimHash group: fingerprints of four-word shingles, linked at four or fewer differing bits.
+
+    Null, empty and wordless texts share the fingerprint zero and are one group.
+    """
+    return simhash.one_of_each_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +57,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written to the shared folder before the next reads it."""
+    """All stages over the documents, each written to the shared folder before the next reads it.
+
+    What a stage wrote for itself goes with it, and its input goes once its output is written.
+    """
     docs = table(spark, sf_dir, "documents")
-    for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name)
+    with scope() as all_but_last:
+        for name, step in STAGES[:-2]:
+            with scope() as inside:
+                docs = inside.keep(step(spark, docs, sf_dir), name)
+        name, step = STAGES[-2]
+        docs = all_but_last.keep(step(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
