@@ -325,7 +325,8 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), found AS (
 ), added AS (
     SELECT doc_id, 3 AS kind, start, start + length(m) AS stop FROM judged j
     WHERE r >= {LEAST_RATIO} AND r >= {LEAST_MEAN_RATIO} * length(m)
-        AND NOT EXISTS (FROM base b WHERE b.doc_id = j.doc_id AND b.g = j.m)
+        AND NOT (EXISTS (FROM base b WHERE b.doc_id = j.doc_id AND b.start <= j.start AND j.start + length(j.m) <= b.stop)
+            AND EXISTS (FROM base b WHERE b.doc_id = j.doc_id AND b.g = j.m))
 ), spans AS (
     SELECT doc_id, kind, start, stop FROM base UNION ALL SELECT * FROM added
 ), told AS (

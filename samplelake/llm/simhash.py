@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samplelake.llm.common import extended, keyed, schema_of, slices, take
-from samplelake.staging import stage
+from samplelake.staging import scope, stage
 
 BITS = 64
 SEED = 42
@@ -204,7 +204,11 @@ def components(edges: DataFrame) -> DataFrame:
     keeps the links between what the ends hang from.  Names are mixed, so a long chain
     shrinks by a fixed share each round.  Rounds are written tables; nothing is gathered.
     """
-    spark = edges.sparkSession
+    with scope() as rounds:
+        return rounds.keep(_rounds(edges), "roots")
+
+
+def _rounds(edges: DataFrame) -> DataFrame:
     rest = stage(edges, "links")
     hung: list[DataFrame] = []
     while not rest.isEmpty():
@@ -218,7 +222,7 @@ def components(edges: DataFrame) -> DataFrame:
             up.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).filter("a != b").distinct(), "links"
         )
     if not hung:
-        return spark.createDataFrame([], "v long, root long")
+        return edges.sparkSession.createDataFrame([], "v long, root long")
     # From the last round back, so that each answer is already a root.
     roots = hung[-1].withColumnRenamed("up", "root")
     for lower in reversed(hung[:-1]):
@@ -237,14 +241,15 @@ def near_groups(docs: DataFrame, width: int = 4, radius: int = RADIUS, hot_bucke
     link like any other; repeated rows give repeated rows; an empty table gives none.
     """
     marked = stage(fingerprints(docs, width), "fingerprints")
-    distinct = stage(marked.groupBy("fp", "v").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct.select("fp"), radius, hot_bucket))
-    placed = distinct.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    # The hot side of these joins is the left one, which adaptive execution can split.
-    by_fp = stage(
-        placed.join(least, "root").select("fp", "component_id", F.col("root").alias("group")), "components"
-    )
+    with scope() as linking:
+        distinct = stage(marked.groupBy("fp", "v").agg(F.min("doc_id").alias("least")), "distinct")
+        roots = components(links(distinct.select("fp"), radius, hot_bucket))
+        placed = distinct.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
+        least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+        # The hot side of these joins is the left one, which adaptive execution can split.
+        by_fp = linking.keep(
+            placed.join(least, "root").select("fp", "component_id", F.col("root").alias("group")), "components"
+        )
     return marked.drop("v").join(by_fp, "fp")
 
 
@@ -262,7 +267,9 @@ def one_of_each_group(docs: DataFrame, width: int = 4) -> DataFrame:
     """
     named, back = keyed(docs, doc_id="doc_id", text="text")
     placed = stage(named.withColumn("row", F.monotonically_increasing_id()), "rows")
-    found = near_groups(placed.select("row", "doc_id", "text"), width)
-    # Summed per task before the shuffle, so a group of any size sends one row a task.
-    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    return back(placed.join(first.select(F.col("first.row").alias("row")), "row", "left_semi"))
+    with scope() as choosing:
+        found = near_groups(placed.select("row", "doc_id", "text"), width)
+        # Summed per task before the shuffle, so a group of any size sends one row a task.
+        first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+        kept = choosing.keep(first.select(F.col("first.row").alias("row")), "kept")
+    return back(placed.join(kept, "row", "left_semi"))

@@ -147,6 +147,19 @@ def test_secrets(spark):
     assert sum(r["n_assign"] for r in found.values()) > 0
 
 
+def test_secrets_sql_by_place(spark, tmp_path):
+    """An assigned key that stands bare again later, held against the SQL."""
+    import duckdb
+
+    key = "Zx9Kq2Lw8Vn4Tb7Rm1Yc"
+    rows = [(1, f"password: {key} and later {key} again"), (2, f"{key} before token={key}"), (3, "plain words"), (4, None)]
+    rows += [(10 + i, f"the report_of_{w}_and_numbers is ready") for i, w in enumerate(("spring", "summer", "autumn"))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare(QUERIES["op10_secrets"](spark, str(tmp_path)), con, SQL["op10_secrets"]) == ""
+
+
 def test_pipeline(spark, texts):
     import corpus_pipeline
     import sentencepiece

@@ -10,7 +10,6 @@ from samplelake.llm import (
     decontaminate,
     language,
     licenses,
-    minhash,
     pieces,
     quality,
     secrets,
@@ -282,59 +281,20 @@ def test_one_of_each_group(odd, none):
     assert simhash.one_of_each_group(none).count() == 0
 
 
-# minhash
-
-
-def jaccard_groups(texts):
-    """Ids by component, from all pairs of the sets of five words."""
-    sets = {}
-    for i, t in texts.items():
-        words = (t or "").encode().lower().split()
-        width = min(5, len(words))
-        sets[i] = {tuple(words[k : k + width]) for k in range(len(words) - width + 1)} if words else set()
-    top = {i: i for i in texts}
-
-    def root(i):
-        while top[i] != i:
-            i = top[i]
-        return i
-
-    ids = sorted(texts)
-    for k, a in enumerate(ids):
-        for b in ids[:k]:
-            both = len(sets[a] | sets[b])
-            if not both or len(sets[a] & sets[b]) >= 0.8 * both:
-                x, y = sorted((root(a), root(b)))
-                top[y] = x
-    return {i: root(i) for i in ids}
-
-
-@pytest.mark.parametrize("rounds", [minhash.ROUNDS, 0])
-def test_near_copies_by_five_words(spark, monkeypatch, rounds):
-    """Copies with words changed, far beyond four bits of SimHash, against all pairs."""
-    from corpus_pipeline import near_dedup
-
-    monkeypatch.setattr(minhash.links, "__defaults__", (*minhash.links.__defaults__[:2], rounds))
-    draw = random.Random(10)
-    texts = {1: None, 2: " ", 3: "a b", 4: "A  b"}
-    for base in range(12):
-        words = [f"w{draw.randint(0, 5000)}" for _ in range(draw.randint(60, 300))]
-        for copy in range(12):
-            changed = list(words)
-            for _ in range(draw.randint(0, max(1, len(words) // 40))):
-                changed[draw.randrange(len(words))] = f"x{draw.randint(0, 5000)}"
-            texts[100 + 20 * base + copy] = " ".join(changed)
-    groups = jaccard_groups(texts)
-    kept = near_dedup(spark, docs_of(spark, [(i, t, None) for i, t in texts.items()]), "")
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({g for g in groups.values()})
-    assert len(set(groups.values())) < len(set(t for t in texts.values())) / 2
-
-
-def test_near_dedup_of_odd_rows(odd, none):
-    kept = minhash.one_of_each_group(odd)
-    assert kept.columns == odd.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 6, 7]
-    assert minhash.one_of_each_group(none).count() == 0
+def test_staged_tables_go_with_their_scope(spark, odd):
+    from pathlib import Path
+
+    from samplelake import staging
+
+    folder = Path(staging.staging_path(spark, "x").removeprefix("file:")).parent
+
+    def staged():
+        return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+    before = staged()
+    kept = simhash.one_of_each_group(odd)
+    assert sorted(n.rsplit("-", 1)[0] for n in staged() - before) == ["kept", "rows"]
+    assert kept.count() == 4
 
 
 # sentencepiece
