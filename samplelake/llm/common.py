@@ -61,3 +61,14 @@ def schema_of(df: DataFrame, drop: list[str], added: str) -> str:
     """The DDL of ``df`` without ``drop`` and with ``added`` at its end."""
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in drop]
     return ", ".join([*kept, added])
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression for the unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    digits = "'0123456789ABCDEF'"
+    nibble = f"(instr({digits}, substr(hex(encode({text})), CAST(k // 4 + 1 AS INT), 1)) - 1)"
+    # Of each byte the lower digit, the second one, is mixed in first, and the other four bits later.
+    nibble = nibble.replace("k // 4 + 1", "k // 4 + CASE WHEN k % 8 = 0 THEN 2 ELSE 0 END")
+    mixed = f"xor(c, CASE WHEN k % 4 = 0 THEN {nibble} ELSE 0 END)"
+    step = f"xor({mixed} >> 1, 3988292384 * ({mixed} & 1))"
+    return f"xor(list_reduce(range(0, 8 * strlen({text})), lambda c, k: {step}, 4294967295), 4294967295)"

@@ -10,11 +10,14 @@ from samplelake.llm import (
     decontaminate,
     language,
     licenses,
+    lines,
+    merkle,
     pieces,
     quality,
     secrets,
     sharding,
     simhash,
+    spelling,
     toxicity,
     urls,
 )
@@ -63,6 +66,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -76,6 +91,9 @@ QUERIES: dict[str, Query] = {
         op8_sharding,
         op9_quality,
         op10_secrets,
+        op11_line_dedup,
+        op12_merkle_manifest,
+        op13_spelling_variants,
     )
 }
 SQL: dict[str, str] = {
@@ -84,4 +102,7 @@ SQL: dict[str, str] = {
     "op3_license_scan": licenses.sql(),
     "op9_quality": quality.sql(),
     "op10_secrets": secrets.sql(),
+    "op11_line_dedup": lines.SQL,
+    "op12_merkle_manifest": merkle.SQL,
+    "op13_spelling_variants": spelling.SQL,
 }
