@@ -8,6 +8,7 @@ from samplelake.catalog import views as v
 from samplelake.catalog.image_queries import CELL_SUMS, pixels_sql, sums, sums_sql
 from samplelake.catalog.listing_queries import SCAN, SM
 from samplelake.catalog.registering import query
+from samplelake.functions.permutation import permuted_sql
 from samplelake.operators import keyed as keyed_ops
 from samplelake.operators import metrics
 from samplelake.plans import jobs
@@ -281,12 +282,11 @@ def keyed_with_transform(spark, sf):
     return both.select("idx", "label").join(totals, "idx")
 
 
-@query("training_batches", W(v.RGB, v.RGB_U8) + """, numbered AS (
-  SELECT label, printf('%010d', row_number() OVER (ORDER BY label, key) - 1) AS key,
-         row_number() OVER (ORDER BY label, key) - 1 AS idx, list_transform(px, lambda x: 255 - x) AS px FROM rgb_u8),
-  placed AS (SELECT *, row_number() OVER (ORDER BY md5('4:2:' || key), key) - 1 AS pos FROM numbered)
-  SELECT 2 AS epoch, pos // 48 AS batch_id, (pos % 48)::INTEGER AS batch_pos, idx, label,
-    round(list_sum(list_transform(px, lambda x: x::DOUBLE)), 4) AS total FROM placed""")
+@query("training_batches", W(v.RGB, v.RGB_U8, """numbered AS (
+  SELECT label, row_number() OVER (ORDER BY label, key) - 1 AS idx, list_transform(px, lambda x: 255 - x) AS px FROM rgb_u8),
+ids AS (SELECT idx FROM numbered)""", permuted_sql("ids", 4, 2), recursive=True) + """SELECT 2 AS epoch, pos // 48 AS batch_id,
+    (pos % 48)::INTEGER AS batch_pos, idx, label,
+    round(list_sum(list_transform(px, lambda x: x::DOUBLE)), 4) AS total FROM numbered JOIN permuted USING (idx)""")
 def training_batches(spark, sf):
     out = staging_path(spark, "keyed-pngs")
     jobs.convert_keyed(objects.list_objects(spark, png_files(spark, sf)), "pics/", out)

@@ -8,6 +8,7 @@ from samplelake.catalog import views as v
 from samplelake.catalog.registering import query
 from samplelake.functions import paths as p
 from samplelake.functions import values as val
+from samplelake.functions.permutation import permuted_sql
 from samplelake.operators import batches, keyed, labels, ledger, listing, metrics, numbering, registry, scanning, selection
 from samplelake.staging import stage
 
@@ -632,20 +633,21 @@ def missing_keys(spark, sf):
     return keyed.missing_keys(requests, keyed_samples(spark, sf))
 
 
-BATCHES = """ordered AS (SELECT key, label, row_number() OVER (ORDER BY md5('7:3:' || key), key) - 1 AS pos FROM samples),
-batches AS (SELECT key, label, 3 AS epoch, pos // 32 AS batch_id, (pos % 32)::INTEGER AS batch_pos FROM ordered)"""
+BATCHES = "sample_ids AS (SELECT idx FROM keyed), " + permuted_sql("sample_ids", 7, 3) + """,
+batches AS (SELECT key, label, 3 AS epoch, pos // 32 AS batch_id, (pos % 32)::INTEGER AS batch_pos
+  FROM keyed JOIN permuted USING (idx))"""
 
 
 def _batches(spark, sf, **options):
-    return batches.epoch_batches(v.samples(spark, sf).select("key", "label"), 32, epoch=3, seed=7, **options)
+    return batches.epoch_batches(keyed_samples(spark, sf).select("idx", "key", "label"), 32, epoch=3, seed=7, **options).drop("idx")
 
 
-@query("epoch_batches", W(O, v.SAMPLES, BATCHES) + "SELECT * FROM batches")
+@query("epoch_batches", W(O, v.SAMPLES, KEYED, BATCHES, recursive=True) + "SELECT * FROM batches")
 def epoch_batches(spark, sf):
     return _batches(spark, sf)
 
 
-@query("epoch_batches_padded", W(O, v.SAMPLES, BATCHES) + """, tail AS (
+@query("epoch_batches_padded", W(O, v.SAMPLES, KEYED, BATCHES, recursive=True) + """, tail AS (
   SELECT * FROM batches ORDER BY batch_id DESC, batch_pos DESC LIMIT 1)
   SELECT * FROM batches UNION ALL
   SELECT key, label, epoch, batch_id, p::INTEGER FROM tail, range(32) r(p) WHERE p > batch_pos""")
@@ -653,7 +655,7 @@ def epoch_batches_padded(spark, sf):
     return _batches(spark, sf, pad_last=True)
 
 
-@query("max_steps", W(O, v.SAMPLES, BATCHES) + "SELECT * FROM batches WHERE batch_id < 4")
+@query("max_steps", W(O, v.SAMPLES, KEYED, BATCHES, recursive=True) + "SELECT * FROM batches WHERE batch_id < 4")
 def max_steps(spark, sf):
     return batches.max_steps(_batches(spark, sf), 4)
 

@@ -320,6 +320,6 @@ TILES = """tiles AS (
        range(64) a(y), range(64) b(x), range(3) d(ch))"""
 
 
-def with_views(*views: str) -> str:
+def with_views(*views: str, recursive: bool = False) -> str:
     """``WITH`` clause of the given view definitions."""
-    return "WITH " + ",\n".join(views) + "\n"
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(views) + "\n"

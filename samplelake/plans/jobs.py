@@ -24,7 +24,6 @@ from samplelake.operators import ledger as led
 from samplelake.operators import scanning
 from samplelake.operators.batches import epoch_batches
 from samplelake.operators.batches import max_steps as first_batches
-from samplelake.operators.joins import fits_broadcast
 from samplelake.operators.labels import encode_labels, label_ids_sorted
 from samplelake.operators.listing import (
     detect_sharded,
@@ -485,28 +484,23 @@ def training_batches(
 ) -> DataFrame:
     """Shuffled batches of a keyed dataset: ``epoch, batch_id, batch_pos, idx, key, label, image``.
 
-    Batches are worked out on indices, and the plan is joined where the images are: a
-    plan small enough is copied to them, so that encoded images move once, to their
-    batch.  There they are transformed; each batch lies in order in one partition.  A
-    record that cannot be decoded fails the job.
+    A record's batch follows from its index by a keyed permutation, so encoded images move
+    once, to their batch, without a sort or a join that works out the order.  There they
+    are transformed; each batch lies in order in one partition.  A record that cannot be
+    decoded fails the job.
     """
-    data = keyed.read_keyed(spark, out)
-    plan = epoch_batches(data.select("idx", "key"), batch_size, epoch=epoch, seed=seed, pad_last=pad_last)
-    if max_steps is not None:
-        plan = first_batches(plan, max_steps)
-    plan = stage(plan.drop("key"), "batches")
-    needed = data if max_steps is None else data.join(plan.select("idx"), "idx", "left_semi")
+    data, total = keyed.read_keyed(spark, out), keyed.dataset_length(spark, out)
+
+    def planned(records: DataFrame, pad: bool = pad_last) -> DataFrame:
+        rows = epoch_batches(records, batch_size, epoch=epoch, seed=seed, total=total, pad_last=pad)
+        return rows if max_steps is None else first_batches(rows, max_steps)
+
+    def dealt(records: DataFrame) -> DataFrame:
+        return planned(records).repartition("batch_id").sortWithinPartitions("batch_id", "batch_pos")
+
     if codec_installed(spark):
-        rows = _planned(plan, needed).repartition("batch_id").sortWithinPartitions("batch_id", "batch_pos")
-        rows = _decoded_records(rows)
+        rows = _decoded_records(dealt(data))
     else:
-        rows = _planned(plan, _decoded_records(needed))
-        rows = rows.repartition("batch_id").sortWithinPartitions("batch_id", "batch_pos")
+        rows = dealt(_decoded_records(planned(data, pad=False).select(*data.columns)))
     columns = ["epoch", "batch_id", "batch_pos", "idx", "key", "label", "image"]
     return rows.withColumn("image", _training_image(steps)).select(*columns)
-
-
-def _planned(plan: DataFrame, data: DataFrame) -> DataFrame:
-    if fits_broadcast(plan):
-        return data.join(F.broadcast(plan), "idx")
-    return plan.join(data, "idx")

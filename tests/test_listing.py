@@ -176,7 +176,7 @@ def test_reconcile(spark):
 
 
 def test_batches_depend_on_seed_and_epoch_only(spark):
-    df = spark.range(70).select(F.col("id").cast("string").alias("key"))
+    df = spark.range(70).select(F.col("id").alias("idx"), F.col("id").cast("string").alias("key"))
     one = batches.epoch_batches(df, 32, epoch=1, seed=5).collect()
     again = batches.epoch_batches(df.repartition(5), 32, epoch=1, seed=5).collect()
     other = batches.epoch_batches(df, 32, epoch=2, seed=5).collect()
