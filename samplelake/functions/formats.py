@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from samplelake.functions.pixels import let
+
 # Formats taken as expected, and leading bytes (hex) by format.
 EXPECTED_FORMATS = ("JPEG", "PNG", "GIF", "WEBP", "BMP", "TIFF")
 LEADING_BYTES = (
@@ -26,8 +28,10 @@ PNG_EXIF_CHUNK = "65584966"
 JPEG_FRAMES = (
     "FFC0", "FFC1", "FFC2", "FFC3", "FFC5", "FFC6", "FFC7", "FFC9", "FFCA", "FFCB", "FFCD", "FFCE", "FFCF",
 )
-# Segments looked at before a JPEG's frame; a file with more has no size here.
-JPEG_SEGMENTS = 256
+# Steps of the first walk over a JPEG's segments; a file with more gets a second walk, as long as it needs.
+JPEG_STEPS = 64
+# Fill bytes that one step of the walk passes.
+FILL_BYTES = 1 << 16
 HEAD_BYTES = 32
 UNKNOWN_DATA = "unrecognised image data"
 TRUNCATED_DATA = "image data is truncated"
@@ -65,35 +69,73 @@ def header_height(content: Column, fmt: Column) -> Column:
 
 
 def jpeg_facts(content: Column) -> Column:
-    """``at, height, width, exif`` of a JPEG, from a walk over the segments before its pixels."""
+    """``height, width, exif, truncated`` of a JPEG, from a walk over the segments before its pixels.
+
+    The end marker is looked for behind the start of the pixels, so that one inside a
+    thumbnail does not count; without pixels behind the frame, and without a frame where
+    the walk ended.
+    """
 
     def number(at: Column) -> Column:
         return F.conv(F.hex(F.substring(content, at, F.lit(2))), 16, 10).cast("int")
 
-    def step(s: Column, _: Column) -> Column:
+    def fill(at: Column) -> Column:
+        """Fill bytes from here on, without the one that belongs to a marker."""
+        run = F.regexp_extract(F.hex(F.substring(content, at, F.lit(FILL_BYTES))), "^F+", 0)
+        return F.greatest(F.floor(F.length(run) / 2).cast("int") - 1, F.lit(1))
+
+    def looked(s: Column) -> Column:
         at = s["at"]
-        marker = F.hex(F.substring(content, at, F.lit(2)))
-        frame = (at > 0) & marker.isin(*JPEG_FRAMES)
-        exif = (at > 0) & (marker == "FFE1") & (F.hex(F.substring(content, at + 4, F.lit(6))) == EXIF_MARKER)
-        ended = (at == 0) | frame | (marker == "FFDA") | ~marker.startswith("FF")
-        after = F.when(marker == "FFFF", at + 1).otherwise(at + 2 + F.greatest(number(at + 2), F.lit(2)))
+
+        def seen(marker: Column) -> Column:
+            frame = marker.isin(*JPEG_FRAMES)
+            exif = (marker == "FFE1") & (F.hex(F.substring(content, at + 4, F.lit(6))) == EXIF_MARKER)
+            ended = marker.isin("FFDA", JPEG_END) | ~marker.startswith("FF") | (F.length(marker) < 4)
+            behind = at + 2 + F.greatest(F.coalesce(number(at + 2), F.lit(2)), F.lit(2))
+            return F.struct(
+                F.when(ended, at).when(marker == "FFFF", at + fill(at)).otherwise(behind).alias("at"),
+                ended.alias("ended"),
+                F.when(marker == "FFDA", at).when(frame, at + 9).otherwise(s["pixels"]).alias("pixels"),
+                F.when(frame, number(at + 5)).otherwise(s["height"]).alias("height"),
+                F.when(frame, number(at + 7)).otherwise(s["width"]).alias("width"),
+                (s["exif"] | exif).alias("exif"),
+            )
+
+        return let(F.hex(F.substring(content, at, F.lit(2))), seen)
+
+    def step(s: Column, _: Column) -> Column:
+        return F.when(s["ended"], s).otherwise(looked(s))
+
+    def whole(s: Column) -> Column:
+        # A segment has four bytes at least, and only runs of fill bytes take steps of their own.
+        rest = F.greatest(F.floor((F.octet_length(content) - s["at"]) / 2), F.lit(0)) + 2
+        return F.when(s["ended"], s).otherwise(F.aggregate(F.sequence(F.lit(1), rest.cast("int")), s, step))
+
+    def told(s: Column) -> Column:
+        tail = F.substring(content, F.coalesce(s["pixels"], s["at"]), F.octet_length(content))
         return F.struct(
-            F.coalesce(F.when(ended, 0).otherwise(after), F.lit(0)).alias("at"),
-            F.when(frame, number(at + 5)).otherwise(s["height"]).alias("height"),
-            F.when(frame, number(at + 7)).otherwise(s["width"]).alias("width"),
-            F.coalesce(s["exif"] | exif, F.lit(False)).alias("exif"),
+            s["height"].alias("height"),
+            s["width"].alias("width"),
+            s["exif"].alias("exif"),
+            (~F.contains(tail, _bytes(JPEG_END))).alias("truncated"),
         )
 
     none = F.lit(None).cast("int")
-    start = F.struct(F.lit(3).alias("at"), none.alias("height"), none.alias("width"), F.lit(False).alias("exif"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(JPEG_SEGMENTS)), start, step)
+    start = F.struct(
+        F.lit(3).alias("at"),
+        F.lit(False).alias("ended"),
+        none.alias("pixels"),
+        none.alias("height"),
+        none.alias("width"),
+        F.lit(False).alias("exif"),
+    )
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(JPEG_STEPS)), start, step)
+    return let(let(first, whole), told)
 
 
-def is_truncated(content: Column, fmt: Column) -> Column:
-    """A JPEG without its end marker, or a PNG without its last chunk; more may follow either."""
-    return F.when(fmt == "JPEG", ~F.contains(content, _bytes(JPEG_END))).when(
-        fmt == "PNG", ~F.contains(content, _bytes(PNG_END))
-    ).otherwise(F.lit(False))
+def lacks_last_chunk(content: Column) -> Column:
+    """A PNG without its last chunk; more may follow it."""
+    return ~F.contains(content, _bytes(PNG_END))
 
 
 def has_exif_marker(content: Column) -> Column:

@@ -13,9 +13,9 @@ from samplelake.functions.formats import (
     header_width,
     image_error,
     image_format,
-    is_truncated,
     is_unexpected_format,
     jpeg_facts,
+    lacks_last_chunk,
 )
 
 BYTES_PER_MB = float(1024 * 1024)
@@ -41,19 +41,20 @@ def validate_bytes(objects: DataFrame) -> DataFrame:
         "key",
         "size_bytes",
         F.substring(content, 1, HEAD_BYTES).alias("_head"),
-        is_truncated(content, image_format(content)).alias("_truncated"),
+        lacks_last_chunk(content).alias("_cut_png"),
         has_exif_marker(content).alias("_exif_marker"),
         has_exif_chunk(content).alias("_exif_chunk"),
         F.when(image_format(content) == "JPEG", jpeg_facts(content)).alias("_jpeg"),
     )
     found = ends.withColumn("_fmt", image_format(F.col("_head")))
     head, fmt = F.col("_head"), F.col("_fmt")
+    truncated = F.when(fmt == "JPEG", F.col("_jpeg.truncated")).otherwise((fmt == "PNG") & F.col("_cut_png"))
     return _metadata(
         found.select(
             "key",
             "size_bytes",
             fmt,
-            image_error(F.col("_truncated"), fmt).alias("error"),
+            image_error(truncated, fmt).alias("error"),
             F.coalesce("_jpeg.width", header_width(head, fmt)).alias("width"),
             F.coalesce("_jpeg.height", header_height(head, fmt)).alias("height"),
             F.when(fmt == "PNG", F.col("_exif_chunk"))

@@ -12,7 +12,7 @@ from test_files import jvm_image, names, picture, put
 from test_images import filtered_png
 
 from samplelake.functions.codecs import encode_png
-from samplelake.operators import joins, selection
+from samplelake.operators import joins, scanning, selection
 from samplelake.plans import jobs
 from samplelake.plans import steps as st
 from samplelake.sources import images, keyed, objects, tables, tarshards
@@ -168,6 +168,29 @@ def test_jpeg_size_and_exif_are_read_from_segments(spark, tmp_path):
     }
 
 
+def test_jpeg_walk_has_no_end_but_its_own(spark, tmp_path):
+    jpeg = jvm_image(spark, tmp_path, "jpg", 6, 9)
+    thumbnail = b"\xff\xe1\x00\x12Exif\0\0" + b"\0" * 8 + b"\xff\xd9"
+    comment = b"\xff\xfe\x00\x04ab"
+    files = {
+        "whole": jpeg[:2] + thumbnail + jpeg[2:],
+        "cut": jpeg[:2] + thumbnail + jpeg[2:-2],
+        "cut_early": jpeg[:2] + thumbnail,
+        "cut_in_segment": jpeg[:2] + thumbnail[:-4],
+        "filled": jpeg[:2] + b"\xff" * 300 + jpeg[2:],
+        "much_filled": jpeg[:2] + b"\xff" * 70_001 + jpeg[2:],
+        "many_segments": jpeg[:2] + comment * 300 + jpeg[2:],
+        "filled_segments": jpeg[:2] + (b"\xff" + comment) * 300 + jpeg[2:],
+        "head_only": jpeg[:3],
+    }
+    rows = spark.createDataFrame([(k, len(v), v) for k, v in files.items()], "key string, size_bytes long, content binary")
+    got = {r["key"]: r for r in scanning.validate_bytes(rows).collect()}
+    cut = {"cut", "cut_early", "cut_in_segment", "head_only"}
+    assert {k for k, r in got.items() if r["corrupted"]} == cut
+    assert {(r["width"], r["height"]) for k, r in got.items() if k not in cut} == {(9, 6)}
+    assert {k for k, r in got.items() if r["exif_present"]} == {"whole"}
+
+
 def test_batch_lookup_reads_a_range_and_moves_no_images(spark, tmp_path):
     spark.range(5000).selectExpr("id AS idx", "cast(repeat('x', 50) AS binary) AS image").write.parquet(str(tmp_path / "d"))
     data = spark.read.parquet(str(tmp_path / "d"))
