@@ -73,7 +73,8 @@ def jpeg_facts(content: Column) -> Column:
 
     The end marker is looked for behind the start of the pixels, so that one inside a
     thumbnail does not count; without pixels behind the frame, and without a frame where
-    the walk ended.
+    the walk ended, or, where a segment is said to pass the end of the data, in their last
+    two bytes.
     """
 
     def number(at: Column) -> Column:
@@ -112,7 +113,10 @@ def jpeg_facts(content: Column) -> Column:
         return F.when(s["ended"], s).otherwise(F.aggregate(F.sequence(F.lit(1), rest.cast("int")), s, step))
 
     def told(s: Column) -> Column:
-        tail = F.substring(content, F.coalesce(s["pixels"], s["at"]), F.octet_length(content))
+        size = F.octet_length(content)
+        # A segment said to be longer than all the data leaves only their last two bytes to look at.
+        stop = F.when(s["at"] > size + 1, size - 1).otherwise(s["at"])
+        tail = F.substring(content, F.coalesce(s["pixels"], stop), size)
         return F.struct(
             s["height"].alias("height"),
             s["width"].alias("width"),
