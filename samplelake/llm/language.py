@@ -20,20 +20,20 @@ from pyspark.sql import functions as F
 
 from samplelake.llm.common import extended, held_out, keyed, schema_of, slices, take
 
-# The labelled sample: so many texts a language, so many characters of each, in so many dictionaries.
-SAMPLE_TEXTS, SAMPLE_CHARS, DICTIONARIES = 1008, 500, 4
+# The labelled sample: so many texts a language, so many characters of each, all in one dictionary.
+SAMPLE_TEXTS, SAMPLE_CHARS = 1008, 220
 # The sample is the first texts of so many hash buckets each, so that no task ranks a whole language.
 SAMPLE_BUCKETS = 16
-DICTIONARY_BYTES = 110_000
 LEVEL = 6
-PIECE_BYTES, SHORT_BYTES, REPEATED_BYTES = 8192, 512, 256
+# A text is encoded in pieces; a piece is repeated up to so many bytes, so that sizes of few bytes can differ.
+PIECE_BYTES, LEAST_BYTES = 8192, 256
 # Share of the second smallest size by which the smallest must lie below it.
 LEAST_MARGIN = 0.02
 UNKNOWN = "und"
 _OTHER = re.compile(r"[\W\d_]+")
 
-# Per language: its name, its texts in the corpus, its dictionaries.
-Learned = list[tuple[str, int, list[bytes]]]
+# Per language: its name, its texts in the corpus, its dictionary.
+Learned = list[tuple[str, int, bytes]]
 
 
 def letters(text: str) -> str:
@@ -68,9 +68,8 @@ def learn(docs: DataFrame) -> Learned:
     learned = []
     for lang, found in sorted(texts.items()):
         ordered = [piece for _, piece in sorted(found)]
-        parts = [" ".join(ordered[k::DICTIONARIES]).encode()[:DICTIONARY_BYTES] for k in range(DICTIONARIES)]
         # A dictionary of fewer than 8 bytes is refused by the format's library.
-        learned.append((lang, counts[lang], [p if len(p) >= 8 else (" ".join(ordered).encode() + b" " * 8) for p in parts]))
+        learned.append((lang, counts[lang], " ".join(ordered).encode().ljust(8)))
     return learned
 
 
@@ -78,17 +77,14 @@ class Classifier:
     def __init__(self, learned: Learned):
         self.names = [name for name, _, _ in learned]
         self.counts = [count for _, count, _ in learned]
-        self.encoders = [[_encoder(d) for d in dictionaries] for _, _, dictionaries in learned]
+        self.encoders = [_encoder(dictionary) for _, _, dictionary in learned]
 
     def sizes(self, text: str) -> list[int]:
         """Size of the encoded text for each language."""
         body = letters(text).encode()
-        if len(body) < SHORT_BYTES:
-            if len(body) < REPEATED_BYTES:
-                body = (body + b" ") * -(-REPEATED_BYTES // (len(body) + 1))
-            return [sum(len(e.compress(body)) for e in own) for own in self.encoders]
         pieces = [body[at : at + PIECE_BYTES] for at in range(0, len(body), PIECE_BYTES)]
-        return [sum(len(own[0].compress(p)) for p in pieces) for own in self.encoders]
+        pieces = [(p + b" ") * -(-LEAST_BYTES // (len(p) + 1)) if len(p) < LEAST_BYTES else p for p in pieces]
+        return [sum(len(encoder.compress(p)) for p in pieces) for encoder in self.encoders]
 
     def judge(self, text: str | None) -> tuple[str, float, float]:
         """Language, score and margin of a whole text; ties go to the language with more texts."""
