@@ -6,14 +6,15 @@ block of two words and holds how far the search may jump when a position's block
 there; blocks of no window jump nearly a whole window.  A jump of nothing leads to the
 bucket of the block, whose windows are compared word for word.
 
-The benchmark is a stated query set.  It is compiled in blocks of bounded size, which
-are broadcast one by one; documents pass through once and never shuffle.
+The benchmark is a stated query set.  Its texts are broadcast, and tasks compile them in
+blocks of bounded size, one at a time; documents pass through once and never shuffle.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 from samplelake.llm.common import ASCII_UPPER, extended, keyed, schema_of, slices, take
 
 WINDOW = 10
-# Bytes of benchmark text compiled and broadcast at a time; a longer set takes more passes.
-BLOCK_BYTES = 32 << 20
+# Bytes of benchmark text compiled at a time (some 150 times as much memory), and bytes of
+# rows a task holds while one block after the other is compiled and searched for.
+BLOCK_BYTES = 1 << 20
+HELD_BYTES = 64 << 20
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORDS = re.compile(WORD)
 _LOWER = str.maketrans(ASCII_UPPER, ASCII_UPPER.lower())
@@ -87,12 +90,12 @@ def covered(spans: np.ndarray) -> int:
     return int(np.maximum(spans[:, 1] - np.maximum(spans[:, 0], reached), 0).sum())
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, list[str]]]]:
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, str | None]]]:
     """The items ``item_id, text`` in blocks of bounded text; one item is never cut."""
     held, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").toLocalIterator():
-        held.append((row.item_id, words_of(row.text)))
-        size += len(row.text or "")
+        held.append((row.item_id, row.text))
+        size += len((row.text or "").encode())
         if size >= block_bytes:
             yield held
             held, size = [], 0
@@ -115,51 +118,60 @@ def find_leaks(
     of one id count once.  Rows of either table may repeat; each row is judged by itself.
     An empty benchmark leaves every count zero.  Columns in ``drop`` end here.  ``hit_spans`` holds word places of
     occurrences, two ints each (start, end), as bytes.
+
+    Texts of the benchmark are broadcast, and a task holds the tables of one block of them
+    at a time: where there are several, it takes rows up to ``HELD_BYTES`` and compiles the
+    blocks in turn for them, which costs little beside the search.
     """
-    context = docs.sparkSession.sparkContext
-
-    def scan(df: DataFrame, tables: Tables, last: bool) -> DataFrame:
-        shared = context.broadcast(tables)
-        made = ["n_words", "hit_spans", "items"]
-        ends = "n_words long, hit_spans binary, items array<string>"
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = shared.value
-            for part in slices(batches):
-                n_words, spans, items = [], [], []
-                for value, held, owned in zip(part.column(text), part.column("hit_spans"), part.column("items")):
-                    words = words_of(value.as_py())
-                    found, owners = [], set(owned.as_py())
-                    for start, end, who in search(words, known):
-                        found += (start, end)
-                        owners.update(who)
-                    n_words.append(len(words))
-                    spans.append(held.as_py() + np.array(found, np.int32).tobytes())
-                    items.append(sorted(owners))
+    blocks = list(benchmark_blocks(take(benchmark, item_id="item_id", text="text"), block_bytes))
+    shared = docs.sparkSession.sparkContext.broadcast(blocks)
+    added = "n_words long, n_hit long, items array<string>, items_sha256 string, hit_spans binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = shared.value
+        only = _compiled(blocks[0], window) if len(blocks) == 1 else None
+        for held in portions(slices(batches), HELD_BYTES if len(blocks) > 1 else 0):
+            rows = [batch.column(text) for batch in held]
+            found = [[(array("i"), set()) for _ in column] for column in rows]
+            for block in blocks:
+                tables = _compiled(block, window) if only is None else only
+                for column, hits in zip(rows, found):
+                    for value, (spans, owners) in zip(column, hits):
+                        for start, end, who in search(words_of(value.as_py()), tables):
+                            spans.extend((start, end))
+                            owners.update(who)
+                del tables
+            for batch, column, hits in zip(held, rows, found):
+                spans = [np.array(s, np.int32) for s, _ in hits]
+                items = [sorted(owners) for _, owners in hits]
+                digests = [hashlib.sha256(",".join(i).encode("utf-8")).hexdigest() for i in items]
                 columns = {
-                    "n_words": pa.array(n_words, pa.int64()),
-                    "hit_spans": pa.array(spans, pa.binary()),
+                    "n_words": pa.array([len(words_of(v.as_py())) for v in column], pa.int64()),
+                    "n_hit": pa.array([covered(s.reshape(-1, 2)) for s in spans], pa.int64()),
                     "items": pa.array(items, pa.list_(pa.string())),
+                    "items_sha256": pa.array(digests, pa.string()),
+                    "hit_spans": pa.array([s.tobytes() for s in spans], pa.binary()),
                 }
-                if last:
-                    hit = [covered(np.frombuffer(b, np.int32).reshape(-1, 2)) for b in spans]
-                    digest = [hashlib.sha256(",".join(i).encode("utf-8")).hexdigest() for i in items]
-                    columns |= {"n_hit": pa.array(hit, pa.int64()), "items_sha256": pa.array(digest, pa.string())}
-                yield extended(part, [*made, *drop] if last else made, columns)
-
-        if last:
-            return df.mapInArrow(run, schema_of(df, [*made, *drop], f"{ends}, n_hit long, items_sha256 string"))
-        return df.mapInArrow(run, schema_of(df, made, ends))
-
-    found = docs.withColumns(
-        {"n_words": F.lit(0).cast("long"), "hit_spans": F.lit(b""), "items": F.array().cast("array<string>")}
-    )
-    block: list = []
-    for following in benchmark_blocks(take(benchmark, item_id="item_id", text="text"), block_bytes):
-        if block:
-            found = scan(found, compile_windows(block, window), last=False)
-        block = following
-    return scan(found, compile_windows(block, window), last=True)
+                yield extended(batch, list(drop), columns)
+
+    return docs.mapInArrow(run, schema_of(docs, list(drop), added))
+
+
+def _compiled(block: list[tuple[str | None, str | None]], window: int) -> Tables:
+    return compile_windows([(item, words_of(text)) for item, text in block], window)
+
+
+def portions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches together until they pass ``size`` bytes."""
+    held, so_far = [], 0
+    for batch in batches:
+        held.append(batch)
+        so_far += batch.nbytes
+        if so_far > size:
+            yield held
+            held, so_far = [], 0
+    if held:
+        yield held
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
