@@ -23,7 +23,6 @@ from samplelake.staging import stage
 
 # The labelled sample: so many texts of each label, by smallest hash of the id.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000
-MOST_TERMS = 600
 # Least likelihood-ratio statistic of a term, far beyond chance among many words.
 LEAST_G2 = 25.0
 # A word of at least so many letters may stand for a term with one edit, a swap included.
@@ -33,6 +32,9 @@ QUOTES = "\"“”„«»‟‹›"
 # Words a task remembers; when full it starts anew.
 REMEMBERED = 500_000
 _WORDS = re.compile(r"[^\W\d_]+")
+# Signs and digits before a letter, as in "m0ron", and words with such inside.
+_SIGN = re.compile(r"[0-9@$*!]++(?=[^\W\d_])")
+_SIGNED = re.compile(r"[^\W\d_]++(?:[0-9@$*!]++[^\W\d_]++)*")
 
 # Terms with their weights, then the coefficients of the logistic model.
 Learned = tuple[dict[str, float], list[float]]
@@ -103,12 +105,26 @@ class Trie:
     def hits(self, text: str) -> list[tuple[int, int, int, str, int]]:
         """``place among words, start, end, term, edits`` of the terms in a lower-cased text."""
         known, find = self._known, self.find
-        words = _WORDS.findall(text)
-        if not any(known[w] if w in known else find(w) for w in words):
+        words = (_SIGNED if _SIGN.search(text) else _WORDS).findall(text)
+        if all(map(str.isalpha, words)) and not any(known[w] if w in known else find(w) for w in words):
             return []
         # Asked again by find: remembering may have started anew meanwhile.
-        spans = enumerate(_WORDS.finditer(text))
-        return [(i, m.start(), m.end(), *hit) for i, m in spans if (hit := find(m.group()))]
+        out, place = [], 0
+        for m in _SIGNED.finditer(text):
+            word, start = m.group(), m.start()
+            if not word.isalpha():
+                hit = find(word)
+                if hit:
+                    out.append((place, start, m.end(), *hit))
+                    place += 1
+                    continue
+            # A signed word that is no term counts as the plain words in it.
+            for part in _WORDS.finditer(word):
+                hit = find(part.group())
+                if hit:
+                    out.append((place, start + part.start(), start + part.end(), *hit))
+                place += 1
+        return out
 
 
 def features(text: str | None, trie: Trie) -> list[float]:
@@ -160,17 +176,23 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame) -> Learned:
     """The lexicon and the model from ``doc_id, text`` and ``doc_id, toxic``.
 
-    Words are counted in Spark; the terms, at most ``MOST_TERMS``, and the sample's
-    features, five numbers a text, come to the driver.  Without texts of both labels
-    every score is 0.
+    Words are counted in Spark; the terms that pass both thresholds, which the bounded
+    sample keeps few, and the sample's features, five numbers a text, come to the driver.
+    Without texts of both labels every score is 0.
     """
     sample = stage(labelled_sample(docs, labels), "labelled")
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return {}, []
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]+"), F.lit(0)))
-    counts = sample.select("toxic", F.explode(words).alias("word")).groupBy("word")
+
+    def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [sorted(set(_WORDS.findall(t.as_py().lower()))) for t in batch.column("text")]
+            yield extended(batch, ["text", "h"], {"words": pa.array(found, pa.list_(pa.string()))})
+
+    words = sample.mapInArrow(distinct_words, "toxic int, words array<string>")
+    counts = words.select("toxic", F.explode("words").alias("word")).groupBy("word")
     counts = counts.agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("c"))
     a, c = F.col("a"), F.col("c")
     both, share = a + c, n_toxic / (n_toxic + n_clean)
@@ -188,8 +210,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Learned:
     rows = (
         counts.withColumns({"g2": g2, "weight": weight})
         .filter((F.col("g2") >= LEAST_G2) & (F.col("weight") >= math.log(8)) & (F.length("word") > 2))
-        .orderBy(F.desc("g2"), "word")
-        .limit(MOST_TERMS)
+        .select("word", "weight")
         .collect()
     )
     terms = {r["word"]: r["weight"] for r in rows}
@@ -201,7 +222,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Learned:
             found = [features(t.as_py(), trie) for t in batch.column("text")]
             yield extended(batch, ["text", "h"], {"x": pa.array(found, pa.list_(pa.float64()))})
 
-    seen = sample.mapInArrow(run, "toxic int, x array<double>").orderBy("toxic", "x").collect()
+    seen = sorted(sample.mapInArrow(run, "toxic int, x array<double>").collect())
     return terms, _logistic(np.array([r["x"] for r in seen]), np.array([r["toxic"] for r in seen], float))
 
 

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from samplelake.llm import (
@@ -97,6 +98,13 @@ def test_leaks_in_blocks(spark, odd):
         assert sorted(r[column] for r in whole.collect()) == sorted(r[column] for r in cut.collect())
 
 
+def test_rows_are_held_up_to_a_size():
+    batches = [pa.record_batch({"t": pa.array(["x" * n])}) for n in (10, 200, 10, 10, 500)]
+    held = list(decontaminate.portions(iter(batches), 150))
+    assert [len(h) for h in held] == [2, 3] and [b for h in held for b in h] == batches
+    assert [len(h) for h in decontaminate.portions(iter(batches), 0)] == [1] * 5
+
+
 def test_search_finds_all():
     draw = random.Random(1)
     for _ in range(300):
@@ -212,6 +220,15 @@ def test_quoted_terms_count_elsewhere():
     assert toxicity.features(None, trie) == toxicity.features("", trie) == [1.0, 0.0, 0.0, 0.0, 0.0]
 
 
+def test_signs_and_digits_inside_words():
+    trie = toxicity.Trie({"idiot": 2.0, "trash": 2.0, "moron": 2.0})
+    found = trie.hits("an id1ot of tra$h, m*ron! but idiot5 and 5moron, x9 ab1cd2ef idiot3trash")
+    assert [(h[0], h[3], h[4]) for h in found] == [
+        (1, "idiot", 1), (3, "trash", 1), (4, "moron", 1), (6, "idiot", 0), (8, "moron", 0),
+        (13, "idiot", 0), (14, "trash", 0)]
+    assert trie.hits("x9 ab1cd2ef") == []
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(4, 1), (2, 0), (7, 0), (None, 1), (3, None)], "doc_id long, toxic int")
     found = toxicity.toxicities(odd, labels).collect()
