@@ -314,7 +314,18 @@ query("gaussian_noise", W(v.RGB, draws_sql("draws", "rgb", 5, "0CameraNoise", "1
             FROM flat JOIN pairs USING (key, pos)) {CELL_SUMS}""")(
     on(v.rgb, [st.CameraNoise(gaussian_std=0.02, poisson_scale=None, seed=5)])
 )
-query("poisson_noise")(on(v.rgb, [st.CameraNoise(gaussian_std=0.0, poisson_scale=0.1, seed=5)]))
+
+# A count is the number of partial sums of the law at or below the draw.
+query("poisson_noise", W(v.RGB, draws_sql("draws", "rgb", 5, "0CameraNoise.shot", "144")) + f""",
+  flat AS (SELECT key, unnest(px)::DOUBLE / 0.1::DOUBLE AS mean, unnest(range(1, len(px) + 1)) AS pos FROM rgb),
+  sums AS (SELECT key, pos, u, sum(CASE WHEN mean > 0 THEN exp(k * ln(mean) - mean - lgamma(k + 1))
+                                        WHEN k = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
+                               OVER (PARTITION BY key, pos ORDER BY k) AS upto
+           FROM flat JOIN draws USING (key), range(60) r(k) WHERE d = 2 * (pos - 1)),
+  cells AS (SELECT key, pos, least(1.0::DOUBLE, count(*) FILTER (upto <= u) * 0.1::DOUBLE)::FLOAT AS val
+            FROM sums GROUP BY key, pos) {CELL_SUMS}""")(
+    on(v.rgb, [st.CameraNoise(gaussian_std=0.0, poisson_scale=0.1, seed=5)])
+)
 
 
 # --- chains ---------------------------------------------------------------------------
@@ -352,4 +363,41 @@ query("train_view", W(v.RGB, v.RGB_U8, draws_sql("places", "rgb", 9, "0TrainView
     FROM seen) {CELL_SUMS}""")(
     on(v.rgb_u8, [st.TrainView(size=3, resize=None, seed=9)], levels=True)
 )
-query("random_area_crop")(on(v.rgb_u8, [st.AreaView(size=5, resize=8, seed=9)], levels=True))
+
+
+def triangle_sql(sizes: str) -> str:
+    """``size, new, o, i, k``: fixed-point weights of linear resampling for rows of ``size, new``."""
+    return f"""weights AS (
+  SELECT size, new, o, i, trunc(u / sum(u) OVER (PARTITION BY size, new, o) * 4194304 + 0.5) AS k
+  FROM (SELECT size, new, o, i, greatest(0.0::DOUBLE, 1.0::DOUBLE - abs((i + 0.5::DOUBLE - mid) / spread)) AS u
+        FROM (SELECT size, new, o, i, (o + 0.5::DOUBLE) * (size::DOUBLE / new) AS mid,
+                     greatest(size::DOUBLE / new, 1.0::DOUBLE) AS spread
+              FROM ({sizes}) t(size, new), range(20) a(o), range(20) b(i) WHERE o < new AND i < size)
+        WHERE i >= greatest(trunc(mid - spread + 0.5), 0) AND i < trunc(mid + spread + 0.5)))"""
+
+
+# The shorter side becomes 8 (so 6 x 4 pixels become 12 x 8), then the window 5 x 5.
+query("random_area_crop", W(v.RGB, v.RGB_U8, draws_sql("places", "rgb", 9, "0AreaView", "4"),
+      draws_sql("coins", "rgb", 9, "0AreaView.mirror", "1"), pixels_sql("rgb_u8", 6, 3),
+      triangle_sql("VALUES (6, 12), (4, 8) UNION SELECT size, 5 FROM range(1, 13) s(size)")) + f""",
+  wide AS (SELECT key, y, o AS x, ch, {ROUNDED} AS val FROM pixels JOIN weights ON size = 6 AND new = 12 AND i = x
+           GROUP BY key, y, o, ch),
+  large AS (SELECT key, o AS y, x, ch, {ROUNDED} AS val FROM wide JOIN weights ON size = 4 AND new = 8 AND i = y
+            GROUP BY key, o, x, ch),
+  drawn AS (SELECT key, max(u) FILTER (d = 0) AS u0, max(u) FILTER (d = 1) AS u1, max(u) FILTER (d = 2) AS u2,
+                   max(u) FILTER (d = 3) AS u3 FROM places GROUP BY key),
+  shapes AS (SELECT *, 0.8::DOUBLE + u0 * (1.0::DOUBLE - 0.8::DOUBLE) AS part,
+                    exp(ln(0.75::DOUBLE) + u1 * (ln(4.0::DOUBLE / 3.0::DOUBLE) - ln(0.75::DOUBLE))) AS ratio FROM drawn),
+  sides AS (SELECT *, least(8, greatest(1, round_even(sqrt(part * 8 * 12 / ratio), 0)))::BIGINT AS h,
+                   least(12, greatest(1, round_even(sqrt(part * 8 * 12 * ratio), 0)))::BIGINT AS w FROM shapes),
+  windows AS (SELECT key, h, w, floor(u2 * (8 - h + 1)) AS top, floor(u3 * (12 - w + 1)) AS lft FROM sides),
+  across AS (SELECT key, h, y - top AS y, o AS x, ch, {ROUNDED} AS val
+             FROM large JOIN windows USING (key) JOIN weights ON size = w AND new = 5 AND i = x - lft
+             WHERE y >= top AND y < top + h GROUP BY key, h, y - top, o, ch),
+  down AS (SELECT key, o AS y, x, ch, {ROUNDED} AS val FROM across JOIN weights ON size = h AND new = 5 AND i = y
+           GROUP BY key, o, x, ch),
+  cells AS (SELECT key, (y * 5 + CASE WHEN u < 0.5 THEN 4 - x ELSE x END) * 3 + ch + 1 AS pos,
+                   (((val / 255)::FLOAT::DOUBLE - {doubles(MEAN)}[(ch + 1)::INTEGER]) / {doubles(STD)}[(ch + 1)::INTEGER])::FLOAT AS val
+            FROM down JOIN coins USING (key)) {CELL_SUMS}""")(
+    on(v.rgb_u8, [st.AreaView(size=5, resize=8, seed=9)], levels=True)
+)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 from samplelake.functions.codecs import decode_bytes, encode_png
-from samplelake.functions.pixels import MIN_STD, TINY
+from samplelake.functions.pixels import LARGEST_INVERTED, MIN_STD, TINY, most_counted
 from samplelake.functions.values import MASK32, MIX_CONSTANT, RANGE32
 
 PRECISION = 22
@@ -279,19 +279,44 @@ def color_jitter(stack, keys, _tables, jitter, seed, step):
     return like(np.clip(work, 0, 1), stack)
 
 
+def _normal(u1: np.ndarray, u2: np.ndarray) -> np.ndarray:
+    return np.sqrt(-2.0 * np.log(1.0 - u1)) * np.cos(2.0 * np.pi * u2)
+
+
+def poisson(mean: np.ndarray, u1: np.ndarray, u2: np.ndarray) -> np.ndarray:
+    """Counts as :func:`pixels.poisson` draws them."""
+    out = np.maximum(0.0, np.rint(mean + np.sqrt(mean) * _normal(u1, u2)))
+    small = mean <= LARGEST_INVERTED
+    m, u = mean[small], u1[small]
+    if not len(m):
+        return out
+    p = np.exp(-m)
+    total, n = p.copy(), np.zeros(len(m))
+    for k in range(1, int(most_counted(float(m.max()))) + 1):
+        below = total <= u
+        if not below.any():
+            break
+        n += below
+        p *= m
+        p /= k
+        total += p
+    out[small] = n
+    return out
+
+
 def camera_noise(stack, keys, _tables, gaussian_std, poisson_scale, seed, step):
-    """Read noise from row-keyed normal draws, then shot noise from a row-keyed generator."""
+    """Read noise from row-keyed normal draws, then shot noise from draws of its own."""
     work = as_unit(stack)
-    bases = draw_bases(seed, step, keys)
+
+    def pairs(name: str) -> tuple[np.ndarray, np.ndarray]:
+        draws = uniforms(draw_bases(seed, name, keys), 0, 2 * work[0].size)
+        return draws[:, 0::2].reshape(work.shape), draws[:, 1::2].reshape(work.shape)
+
     if gaussian_std > 0:
-        size = work[0].size
-        draws = uniforms(bases, 0, 2 * size)
-        normal = np.sqrt(-2.0 * np.log(1.0 - draws[:, 0::2])) * np.cos(2.0 * np.pi * draws[:, 1::2])
-        work = work + gaussian_std * normal.reshape(work.shape)
+        work = work + gaussian_std * _normal(*pairs(step))
     if poisson_scale is not None and poisson_scale > 0:
-        rate = np.clip(work / max(poisson_scale, TINY), 0, 1e10)
-        counts = [np.random.default_rng(int(b)).poisson(r) for b, r in zip(bases, rate)]
-        work = np.stack(counts) * float(poisson_scale)
+        mean = np.clip(work / max(poisson_scale, TINY), 0, 1e10)
+        work = poisson(mean, *pairs(step + ".shot")) * float(poisson_scale)
     return like(np.clip(work, 0, 1), stack)
 
 

@@ -21,6 +21,8 @@ IMAGENET_MEAN = (0.485, 0.456, 0.406)
 IMAGENET_STD = (0.229, 0.224, 0.225)
 MIN_STD = 1e-7
 TINY = 1e-6
+# Shot noise of a greater mean is drawn from the normal law of the same mean and variance.
+LARGEST_INVERTED = 500.0
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -305,18 +307,62 @@ def lens_distortion(img: Column, k: float, levels: bool) -> Column:
     return let(img, bent)
 
 
-def gaussian_noise(img: Column, std: float, key: Column, seed: int, step: str, levels: bool) -> Column:
-    """Normal noise of two draws per value, which depend on seed, step, key and place alone."""
+def _normal(u1: Column, u2: Column) -> Column:
+    return F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
 
-    def noisy(im: Column, base: Column) -> Column:
+
+def most_counted(mean):
+    """A count that no draw of 32 bits passes at this mean."""
+    sqrt = F.sqrt if isinstance(mean, Column) else math.sqrt
+    return mean + 8.0 * sqrt(mean) + 24.0
+
+
+def poisson(mean: Column, u1: Column, u2: Column) -> Column:
+    """A Poisson count by inversion: how many partial sums of the law lie at or below ``u1``.
+
+    Above ``LARGEST_INVERTED`` it is the normal draw of ``u1`` and ``u2``, rounded.
+    """
+
+    def counted(m: Column) -> Column:
+        first = F.exp(-m["mean"])
+        start = F.struct(first.alias("p"), first.alias("total"), F.lit(0).alias("n"))
+
+        def add(a: Column, k: Column) -> Column:
+            p = a["p"] * m["mean"] / k
+            passed = F.when(a["total"] <= m["u1"], a["n"] + 1).otherwise(a["n"])
+            return F.struct(p.alias("p"), (a["total"] + p).alias("total"), passed.alias("n"))
+
+        places = F.sequence(F.lit(1), most_counted(m["mean"]).cast("int"))
+        normal = F.greatest(F.lit(0.0), F.rint(m["mean"] + F.sqrt(m["mean"]) * _normal(m["u1"], m["u2"])))
+        inverted = F.aggregate(places, start, add, lambda a: a["n"].cast("double"))
+        return F.when(m["mean"] <= LARGEST_INVERTED, inverted).otherwise(normal)
+
+    return let(F.struct(mean.alias("mean"), u1.alias("u1"), u2.alias("u2")), counted)
+
+
+def camera_noise(
+    img: Column, std: float, scale: float | None, key: Column, seed: int, step: str, levels: bool
+) -> Column:
+    """Normal noise, then shot noise of mean ``value / scale`` in units of ``scale``.
+
+    Each takes two draws per value, which depend on seed, step, key and place alone.
+    """
+
+    def noisy(im: Column, b: Column) -> Column:
         def value(x: Column, i: Column) -> Column:
-            u1, u2 = uniform(base, i * 2), uniform(base, i * 2 + 1)
-            normal = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
-            return _back(_clip(_unit(x, levels) + F.lit(float(std)) * normal, 0.0, 1.0), levels)
+            seen = _unit(x, levels)
+            if std > 0:
+                seen = seen + F.lit(float(std)) * _normal(uniform(b["read"], i * 2), uniform(b["read"], i * 2 + 1))
+            if scale:
+                mean = _clip(seen / F.lit(max(float(scale), TINY)), 0.0, 1e10)
+                shots = poisson(mean, uniform(b["shot"], i * 2), uniform(b["shot"], i * 2 + 1))
+                seen = shots * F.lit(float(scale))
+            return _back(_clip(seen, 0.0, 1.0), levels)
 
         return _same_size(im, F.transform(im["px"], value))
 
-    return let(img, lambda im: let(draw_base(seed, step, key), lambda b: noisy(im, b)))
+    bases = F.struct(draw_base(seed, step, key).alias("read"), draw_base(seed, step + ".shot", key).alias("shot"))
+    return let(img, lambda im: let(bases, lambda b: noisy(im, b)))
 
 
 def to_levels(img: Column, levels: bool) -> Column:

@@ -115,11 +115,9 @@ class CameraNoise(Step):
         return [("camera_noise", {**vars(self), "step": name})]
 
     def column(self, img, key, name, levels):
-        if self.poisson_scale:
-            return None
-        if self.gaussian_std <= 0:
+        if self.gaussian_std <= 0 and not self.poisson_scale:
             return img
-        return pixels.gaussian_noise(img, self.gaussian_std, key, self.seed, name, levels)
+        return pixels.camera_noise(img, self.gaussian_std, self.poisson_scale, key, self.seed, name, levels)
 
 
 @dataclass(frozen=True)

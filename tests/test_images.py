@@ -103,6 +103,15 @@ def test_poisson_moments(spark):
     assert not np.array_equal(out[0], out[1])
 
 
+def test_poisson_counts_follow_the_law():
+    u = (np.arange(200_000) + 0.5) / 200_000
+    for mean in (0.0, 0.3, 7.0, 480.0):
+        counts = kernels.poisson(np.full(u.size, mean), u, u)
+        law = np.cumsum([math.exp(k * math.log(mean) - mean - math.lgamma(k + 1)) if mean else k == 0 for k in range(900)])
+        for k in range(0, 900, 7):
+            assert abs(np.mean(counts <= k) - law[k]) < 1e-5
+
+
 def test_noise_is_the_same_in_any_layout(spark):
     df = image_table(spark, [levels((6, 6, 3), i) for i in range(12)])
     chain = [st.CameraNoise(0.05, 0.1, seed=1)]
@@ -140,6 +149,9 @@ TWINS = [
     ([st.LensDistortion(0.3)], False),
     ([st.CameraNoise(0.05, None, seed=3)], True),
     ([st.CameraNoise(0.05, None, seed=3)], False),
+    ([st.CameraNoise(0.05, 0.1, seed=3)], True),
+    ([st.CameraNoise(0.0, 0.02, seed=3)], False),
+    ([st.CameraNoise(0.0, 0.001, seed=3)], False),  # means on both sides of the largest inverted one
 ]
 
 
