@@ -133,20 +133,23 @@ def find_leaks(
         for held in portions(slices(batches), HELD_BYTES if len(blocks) > 1 else 0):
             rows = [batch.column(text) for batch in held]
             found = [[(array("i"), set()) for _ in column] for column in rows]
-            for block in blocks:
+            counts = [[0] * len(column) for column in rows]
+            for block in blocks or [[]]:
                 tables = _compiled(block, window) if only is None else only
-                for column, hits in zip(rows, found):
-                    for value, (spans, owners) in zip(column, hits):
-                        for start, end, who in search(words_of(value.as_py()), tables):
+                for column, hits, count in zip(rows, found, counts):
+                    for row, (value, (spans, owners)) in enumerate(zip(column, hits)):
+                        words = words_of(value.as_py())
+                        count[row] = len(words)
+                        for start, end, who in search(words, tables):
                             spans.extend((start, end))
                             owners.update(who)
                 del tables
-            for batch, column, hits in zip(held, rows, found):
+            for batch, hits, count in zip(held, found, counts):
                 spans = [np.array(s, np.int32) for s, _ in hits]
                 items = [sorted(owners) for _, owners in hits]
                 digests = [hashlib.sha256(",".join(i).encode("utf-8")).hexdigest() for i in items]
                 columns = {
-                    "n_words": pa.array([len(words_of(v.as_py())) for v in column], pa.int64()),
+                    "n_words": pa.array(count, pa.int64()),
                     "n_hit": pa.array([covered(s.reshape(-1, 2)) for s in spans], pa.int64()),
                     "items": pa.array(items, pa.list_(pa.string())),
                     "items_sha256": pa.array(digests, pa.string()),
