@@ -33,6 +33,7 @@ INDEX_SCHEMA = (
 )
 IMAGE_MEMBERS = ("jpg", "jpeg", "png")
 INDEX_ROWS = 5000
+SLICE_ROWS = 512
 SHARDS_PER_TASK = 25
 TARS_PER_TASK = 4
 
@@ -54,6 +55,13 @@ def shard_files(listing: DataFrame) -> DataFrame:
     return tars
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so that the Python objects made of them stay few in batches of any size."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
 def _split_member(name: str) -> tuple[str, str]:
     folder, _, base = name.rpartition("/")
     stem, dot, ext = base.partition(".")
@@ -149,7 +157,7 @@ def fetch_members(index: DataFrame) -> DataFrame:
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, handle, opened = Files(), None, None
-        for batch in batches:
+        for batch in _portions(batches):
             start, held, members = 0, 0, []
             paths, places = batch.column(at_path).to_pylist(), batch.column(len(names)).to_pylist()
             for row, (path, wanted) in enumerate(zip(paths, places)):
@@ -281,7 +289,7 @@ def write_files_as_shards(rows: DataFrame, root: str, ext: str = "jpg") -> DataF
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tars = _Tars(base)
-        for batch in batches:
+        for batch in _portions(batches):
             for shard, place, key, path, cls in zip(*[batch.column(i).to_pylist() for i in range(5)]):
                 members = [(ext, tars.files.read(path))]
                 tars.add(shard, place, key, members if cls is None else [*members, ("cls", cls)])
