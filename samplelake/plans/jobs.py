@@ -39,7 +39,7 @@ from samplelake.operators.registry import append_scan
 from samplelake.plans.config import shard_config
 from samplelake.plans.steps import Step, ToLevels, kernel_column
 from samplelake.sources import keyed, objects, tables, tarshards
-from samplelake.sources.images import codec_installed, decode_content, decode_images, or_fail
+from samplelake.sources.images import codec_installed, decode_content, image_sizes, or_fail
 from samplelake.staging import stage
 
 # Work between two ledger entries, which is what a stopped job repeats at most.
@@ -94,10 +94,9 @@ def scan_dataset(
 
     Gives the summary row.  With ``decode`` the sizes come from Spark's image decoder.
     """
-    found = scanning.validate_bytes(filter_images(objects.read_objects(spark, root)))
+    found = scanning.validate_bytes(objects.read_objects(spark, root, images_only=True))
     if decode:
-        sizes = decode_images(spark, root).select("key", "width", "height")
-        found = scanning.add_decoded_size(found, sizes)
+        found = scanning.add_decoded_size(found, image_sizes(spark, root))
     metadata = stage(found, "scan")
     key = spark.range(1).select(metadata_key(F.lit(prefix)).alias("key")).first()["key"]
     base = out.rstrip("/")

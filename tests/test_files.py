@@ -136,6 +136,19 @@ def test_scan(spark, tmp_path):
     assert [(r["source_prefix"], r["metadata_key"], r["total"]) for r in recorded] == [("p/", "metadata/p.jsonl", 10)]
 
 
+def test_scan_reads_many_small_files_in_few_tasks(spark, tmp_path, monkeypatch):
+    good = encode_png(picture(4, 6))
+    root = put(tmp_path / "s", {f"p{i % 7}/{i}.{'PNG' if i % 2 else 'txt'}": good for i in range(3000)})
+    assert {name.rsplit(".", 1)[1] for name in images.decode_images(spark, root).inputFiles()} == {"PNG"}
+    tasks, settings = [], {name: spark.conf.get(name) for name in images.SMALL_FILES}
+    kept = images.stage
+    monkeypatch.setattr(images, "stage", lambda df, label: tasks.append(df.rdd.getNumPartitions()) or kept(df, label))
+    summary = jobs.scan_dataset(spark, root, str(tmp_path / "out"), bucket="b", prefix="p/").first()
+    assert (summary["total"], summary["corrupted"]) == (1500, 0)
+    assert tasks[0] <= spark.sparkContext.defaultParallelism + 1
+    assert {name: spark.conf.get(name) for name in images.SMALL_FILES} == settings
+
+
 def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "shared_dir", lambda _: str(tmp_path))
     assert staging.stage(spark.range(3)).count() == 3
@@ -196,6 +209,18 @@ def sample_rows(spark, n=10, shard="s_00000.tar"):
     return rows.withColumn("members", tarshards.sample_members(F.col("content"), F.col("cls")))
 
 
+def test_members_of_a_large_batch_are_read_in_portions(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "tars")
+    tarshards.write_shards(sample_rows(spark, 3000), root)
+    index = tarshards.index_shards(tarshards.list_shard_files(spark, root))
+    batch = index.toArrow().combine_chunks().to_batches()[0]
+    monkeypatch.setattr(type(index), "mapInArrow", lambda self, function, schema: function)
+    read = list(tarshards.fetch_members(index)(iter([batch])))
+    assert max(part.num_rows for part in read) <= 512
+    at = {i: dict(m) for part in read for i, m in zip(part["sample_idx"].to_pylist(), part["members"].to_pylist())}
+    assert {i: m["jpg"] for i, m in at.items()} == {i: b"\xff\xd8\xff" + str(i).encode() for i in range(3000)}
+
+
 def test_shard_round_trip(spark, tmp_path):
     root = str(tmp_path / "tars")
     written = tarshards.write_shards(sample_rows(spark), root).collect()
