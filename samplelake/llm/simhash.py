@@ -263,7 +263,8 @@ def one_of_each_group(docs: DataFrame, width: int = 4) -> DataFrame:
     """The documents, all columns, with one row of each group: the smallest id, of equal ids any one.
 
     Rows without an id go where their group has one with an id.  The choice is made on
-    narrow rows, whose places in the written table say which rows stay.
+    narrow rows, and one bit for each row of the written table says which rows stay: the
+    bits are broadcast, so that no text is shuffled.
     """
     named, back = keyed(docs, doc_id="doc_id", text="text")
     placed = stage(named.withColumn("row", F.monotonically_increasing_id()), "rows")
@@ -271,5 +272,12 @@ def one_of_each_group(docs: DataFrame, width: int = 4) -> DataFrame:
         found = near_groups(placed.select("row", "doc_id", "text"), width)
         # Summed per task before the shuffle, so a group of any size sends one row a task.
         first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-        kept = choosing.keep(first.select(F.col("first.row").alias("row")), "kept")
-    return back(placed.join(kept, "row", "left_semi"))
+        row = F.col("first.row")
+        bits = first.groupBy(F.bitmap_bucket_number(row).alias("block")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(row)).alias("bits")
+        )
+        kept = choosing.keep(bits, "kept")
+    at = F.bitmap_bit_position("row")
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    chosen = placed.withColumn("block", F.bitmap_bucket_number("row")).join(F.broadcast(kept), "block")
+    return back(chosen.filter(F.getbit(byte, (at % 8).cast("int")) == 1))

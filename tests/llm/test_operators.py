@@ -298,6 +298,25 @@ def test_one_of_each_group(odd, none):
     assert simhash.one_of_each_group(none).count() == 0
 
 
+def test_one_of_each_group_shuffles_no_text(spark):
+    """Rows are chosen in place, also where the chosen ones are too many for a broadcast by size."""
+    texts = [f"{i // 2} " * 3 + " ".join(f"w{(i // 2) * k % 97}" for k in range(1, 30)) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n in names:
+            spark.conf.set(n, "-1")
+        kept = simhash.one_of_each_group(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        groups = simhash.near_duplicates(docs).collect()
+        assert sorted(r["doc_id"] for r in kept.collect()) == sorted({r["component_id"] for r in groups})
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+
+
 def test_staged_tables_go_with_their_scope(spark, odd):
     from pathlib import Path
 
