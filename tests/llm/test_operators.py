@@ -352,6 +352,54 @@ def test_pieces_as_the_library():
     assert [pieces.decode(i, added) for i in ids] == [t.replace(pieces.MARK, " ") for t in texts]
 
 
+def test_pieces_of_many_words_in_arrays(monkeypatch):
+    """Thousands of short words are walked by the length of their prefixes, not word by word."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    model = pieces.read_model()
+    draw = random.Random(13)
+    syllables = ["an", "the", "é", "ou", "ing", "b", "St", "o", "qu", "日", "7", "-", "x,"]
+    words = ["".join(draw.choice(syllables) for _ in range(draw.randint(1, 6))) for _ in range(20_000)]
+    long = "".join(draw.choice("abcdefgh") for _ in range(3000))
+    texts = [" ".join(words[i : i + 50]) for i in range(0, len(words), 50)] + [long, long + "ab c", "😀" + long]
+    walked = []
+    by_word = pieces.Encoder.states
+    monkeypatch.setattr(pieces.Encoder, "states", lambda self, word, *rest: walked.append(word) or by_word(self, word, *rest))
+    assert pieces.Encoder(model).encode(texts) == [library.encode(t) for t in texts]
+    assert len(set(walked)) < 100
+
+
+def test_pieces_in_arrays_and_by_word(monkeypatch):
+    model = pieces.read_model()
+    draw = random.Random(14)
+    texts = ["".join(chr(draw.choice([*range(1, 400), 32, 32, 9601, 26085, 128512])) for _ in range(60)) for _ in range(300)]
+    texts += ["", "a   b", " " * 20, "▁" * 20 + "a  ", "", "  \n  "]
+    added = pieces.bytes_of(model)
+    ids, places = pieces.Encoder(model).encode_flat(texts)
+    in_arrays = [ids[a:b].tolist() for a, b in zip(places, places[1:])]
+    back = list(pieces.texts_of(ids, places, pa.array(added, pa.large_binary())))
+    assert back == [pieces.decode(i, added) for i in in_arrays] == [t.replace(pieces.MARK, " ") for t in texts]
+    monkeypatch.setattr(pieces, "FEW", 1_000_000)
+    monkeypatch.setattr(pieces, "REMEMBERED", 100)
+    by_word = pieces.Encoder(model)
+    assert in_arrays == [by_word.encode([t])[0] for t in texts]
+
+
+def test_pairs_of_pieces_in_arrays():
+    encoder = pieces.Encoder(pieces.read_model())
+    draw = random.Random(15)
+    usable = [i for i in encoder.model.ids.values() if encoder.model.lengths[i] == 1 or i in encoder.model.parts]
+    left, right = (np.array([draw.choice(usable) for _ in range(5000)]) for _ in range(2))
+    # Two halves of a piece are torn by its merge; such pairs are rare among drawn ones.
+    halves = list(encoder.model.parts.values())[:5000]
+    left, right = (np.concatenate([x, [h[k] for h in halves]]) for k, x in enumerate((left, right)))
+    wanted = [encoder.stays_apart(a, b) for a, b in zip(left.tolist(), right.tolist())]
+    assert len(set(wanted)) == 2
+    for _ in range(2):  # the second time from memory
+        assert encoder._stay_apart(left, right).tolist() == wanted
+
+
 def test_pieces_of_odd_rows(odd, none):
     found = [tuple(r) for r in pieces.document_ids(odd).collect()]
     assert (1, 0, None, None) in found and (2, 0, [], True) in found and len(found) == len(ODD)
